@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle as P
-from .operators import area
+from .operators import area, category, visits
+from .params import VisitFilter
 from .sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +53,51 @@ def area_product_top3(spark, d):
 def area_top3_products(spark, d):
     return area.area_top3_products(td.user_visit_action(spark, d), td.city_info(spark, d),
                                    td.product_info(spark, d))
+
+
+# --- R1 / R2 ---------------------------------------------------------------
+
+def _visits(spark, d, f=None):
+    return visits.filter_visits(td.user_visit_action(spark, d), td.user_info(spark, d),
+                                f or VisitFilter(P.START_DATE, P.END_DATE, P.START_AGE, P.END_AGE))
+
+
+def _wide(spark, d):
+    return category.category_counts_wide(category.category_actions(_visits(spark, d)))
+
+
+@register
+def visits_filtered(spark, d):
+    return _visits(spark, d)
+
+
+@register
+def visits_filtered_open(spark, d):
+    return _visits(spark, d, VisitFilter("", "", "", ""))
+
+
+@register
+def category_action_counts(spark, d):
+    return category.category_action_counts(category.category_actions(_visits(spark, d)))
+
+
+@register
+def category_counts_wide(spark, d):
+    return _wide(spark, d)
+
+
+@register
+def category_top10(spark, d):
+    return category.top_categories(_wide(spark, d), P.TASK_ID)
+
+
+@register
+def category_session_clicks(spark, d):
+    v = _visits(spark, d)
+    top = category.top_categories(category.category_counts_wide(category.category_actions(v)), P.TASK_ID)
+    return category.category_session_clicks(v, top)
+
+
+@register
+def category_top10_sessions(spark, d):
+    return category.top_sessions(category_session_clicks(spark, d), P.TASK_ID)

@@ -103,3 +103,51 @@ SQL["area_product_top3"] = _R4_BASE + "SELECT * FROM top3"
 SQL["area_top3_products"] = _R4_BASE + """
 SELECT t3.area, p.product_name, t3.clickcount, t3.city_remark
 FROM top3 t3 JOIN product_info p ON t3.click_product_id = p.product_id"""
+
+# --- R1 / R2 ---------------------------------------------------------------
+
+_R1_BASE = VIEWS + f""",
+visits AS (
+  SELECT v.* FROM user_visit_action v JOIN user_info u ON v.user_id = u.user_id
+  WHERE v.date >= '{START_DATE}' AND v.date <= '{END_DATE}' AND u.age >= {START_AGE} AND u.age <= {END_AGE}),
+order_items AS (
+  SELECT unnest(string_split(order_category_ids, ',')) AS item FROM visits
+  WHERE coalesce(click_category_id, -1) = -1 AND length(order_category_ids) > 0),
+pay_items AS (
+  SELECT unnest(string_split(pay_category_ids, ',')) AS item FROM visits
+  WHERE coalesce(click_category_id, -1) = -1 AND coalesce(length(order_category_ids), 0) = 0
+    AND length(pay_category_ids) > 0),
+actions AS (
+  SELECT CAST(click_category_id AS VARCHAR) AS category_id, 'click' AS action FROM visits
+  WHERE coalesce(click_category_id, -1) <> -1
+  UNION ALL SELECT item, 'order' FROM order_items WHERE length(item) > 0
+  UNION ALL SELECT item, 'pay' FROM pay_items WHERE length(item) > 0),
+wide AS (
+  SELECT category_id,
+         count(*) FILTER (WHERE action = 'click') AS click_count,
+         count(*) FILTER (WHERE action = 'order') AS order_count,
+         count(*) FILTER (WHERE action = 'pay') AS pay_count
+  FROM actions GROUP BY category_id),
+top10 AS (
+  SELECT '{TASK_ID}' AS task_id, category_id, click_count, order_count, pay_count FROM wide
+  ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10),
+session_clicks AS (
+  SELECT CAST(click_category_id AS VARCHAR) AS category_id, session_id, count(*) AS click_count
+  FROM visits
+  WHERE coalesce(click_category_id, -1) <> -1
+    AND CAST(click_category_id AS VARCHAR) IN (SELECT category_id FROM top10)
+  GROUP BY 1, 2)
+"""
+
+SQL["visits_filtered"] = _R1_BASE + "SELECT * FROM visits"
+SQL["visits_filtered_open"] = VIEWS + """
+SELECT v.* FROM user_visit_action v JOIN user_info u ON v.user_id = u.user_id"""
+SQL["category_action_counts"] = _R1_BASE + """
+SELECT category_id, action, count(*) AS action_count FROM actions GROUP BY category_id, action"""
+SQL["category_counts_wide"] = _R1_BASE + "SELECT * FROM wide"
+SQL["category_top10"] = _R1_BASE + "SELECT * FROM top10"
+SQL["category_session_clicks"] = _R1_BASE + "SELECT * FROM session_clicks"
+SQL["category_top10_sessions"] = _R1_BASE + f"""
+SELECT '{TASK_ID}' AS task_id, category_id, session_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rn
+  FROM session_clicks) WHERE rn <= 10"""
