@@ -10,8 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle as P
-from .operators import area, category, visits
+from .operators import ads, area, category, visits
 from .params import VisitFilter
+from .sources import adlog
 from .sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +102,56 @@ def category_session_clicks(spark, d):
 @register
 def category_top10_sessions(spark, d):
     return category.top_sessions(category_session_clicks(spark, d), P.TASK_ID)
+
+
+# --- R3 / R5 / R6, batch form ---------------------------------------------
+
+def _ads(spark, d):
+    """Parsed ad log with the micro-batch of arrival."""
+    lines = td.ad_log_batches(spark, d, P.N_BATCHES)
+    return adlog.accepted_lines(adlog.parse_ad_log(lines, keep=("event_id", "batch_id")))
+
+
+def _accepted(spark, d):
+    a = _ads(spark, d)
+    return ads.accepted(a, ads.blacklist(a, P.THRESHOLD))
+
+
+@register
+def ad_log_parsed(spark, d):
+    return _ads(spark, d)
+
+
+@register
+def ad_clicks_user_day(spark, d):
+    return ads.user_day_clicks(_ads(spark, d))
+
+
+@register
+def blacklist_users(spark, d):
+    return ads.blacklist(_ads(spark, d), P.THRESHOLD)
+
+
+@register
+def ad_log_accepted(spark, d):
+    return _accepted(spark, d)
+
+
+@register
+def area_city_ad_counts(spark, d):
+    return ads.area_city_counts(_accepted(spark, d))
+
+
+@register
+def area_ad_counts(spark, d):
+    return ads.area_counts(ads.area_city_counts(_accepted(spark, d)))
+
+
+@register
+def area_top3_ads(spark, d):
+    return ads.top_ads(area_ad_counts(spark, d))
+
+
+@register
+def area_top3_ads_json(spark, d):
+    return ads.top_ads_json(area_top3_ads(spark, d))

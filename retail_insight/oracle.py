@@ -151,3 +151,48 @@ SQL["category_top10_sessions"] = _R1_BASE + f"""
 SELECT '{TASK_ID}' AS task_id, category_id, session_id, click_count FROM (
   SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rn
   FROM session_clicks) WHERE rn <= 10"""
+
+# --- R3 / R5 / R6 ----------------------------------------------------------
+
+ADS_VIEWS = f"""WITH
+geo AS (
+  SELECT n.n_nationkey AS geo_key, replace(r.r_name, ' ', '_') AS area, n.n_name AS city
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
+lines AS (
+  SELECT e.event_id, (e.event_id * {N_BATCHES}) // (SELECT max(event_id) + 1 FROM events) AS batch_id,
+         concat_ws(' ', CAST(epoch_us(e.ts) // 1000 AS VARCHAR), g.area, g.city, CAST(e.user_id AS VARCHAR),
+                   CAST(CAST(regexp_extract(e.props, '(\\d+)', 1) AS BIGINT) % 6 + 1 AS VARCHAR)) AS value
+  FROM events e JOIN geo g ON e.user_id % 25 = g.geo_key),
+tok AS (SELECT event_id, batch_id, string_split(value, ' ') AS t FROM lines),
+ads AS (
+  SELECT event_id, batch_id, TRY_CAST(t[1] AS BIGINT) AS ts, t[2] AS area, t[3] AS city,
+         t[4] AS user_id, t[5] AS ad_id, strftime(epoch_ms(TRY_CAST(t[1] AS BIGINT)), '%Y-%m-%d') AS day
+  FROM tok WHERE len(t) >= 5 AND TRY_CAST(t[1] AS BIGINT) IS NOT NULL),
+per_batch AS (
+  SELECT batch_id, day, user_id, ad_id, count(*) AS n FROM ads GROUP BY batch_id, day, user_id, ad_id),
+running AS (
+  SELECT *, sum(n) OVER (PARTITION BY day, user_id, ad_id ORDER BY batch_id) AS cum FROM per_batch),
+bl AS (SELECT user_id, min(batch_id) AS listed_batch FROM running WHERE cum >= {THRESHOLD} GROUP BY user_id),
+accepted AS (
+  SELECT a.* FROM ads a LEFT JOIN bl ON a.user_id = bl.user_id
+  WHERE bl.listed_batch IS NULL OR a.batch_id <= bl.listed_batch),
+area_city AS (
+  SELECT day, area, city, ad_id, count(*) AS clicks FROM accepted GROUP BY day, area, city, ad_id),
+area_ad AS (
+  SELECT day, area, ad_id, CAST(sum(clicks) AS BIGINT) AS clicks FROM area_city GROUP BY day, area, ad_id),
+top3 AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY day, area ORDER BY clicks DESC, ad_id) AS rank FROM area_ad)
+  WHERE rank <= 3)
+"""
+
+SQL["ad_log_parsed"] = ADS_VIEWS + "SELECT * FROM ads"
+SQL["ad_clicks_user_day"] = ADS_VIEWS + """
+SELECT day, user_id, ad_id, count(*) AS clicks FROM ads GROUP BY day, user_id, ad_id"""
+SQL["blacklist_users"] = ADS_VIEWS + "SELECT * FROM bl"
+SQL["ad_log_accepted"] = ADS_VIEWS + "SELECT * FROM accepted"
+SQL["area_city_ad_counts"] = ADS_VIEWS + "SELECT * FROM area_city"
+SQL["area_ad_counts"] = ADS_VIEWS + "SELECT * FROM area_ad"
+SQL["area_top3_ads"] = ADS_VIEWS + "SELECT * FROM top3"
+SQL["area_top3_ads_json"] = ADS_VIEWS + """
+SELECT day, area, to_json(list(map([ad_id], [clicks]) ORDER BY rank)) AS ads_json FROM top3 GROUP BY day, area"""
