@@ -8,10 +8,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle as P
 from .operators import ads, area, category, visits
 from .params import VisitFilter
+from .session import new_work_dir
+from .sinks.kv import KeyedUpsertLog
+from .sinks.tables import overwrite_table
+from .streaming.pipeline import R5_SCHEMA, PipelineConfig, RealtimePipeline
+from .streaming.replay import replay
+from .streaming.running import running_area_city_counts
 from .sources import adlog
 from .sources import testdata as td
 
@@ -155,3 +162,83 @@ def area_top3_ads(spark, d):
 @register
 def area_top3_ads_json(spark, d):
     return ads.top_ads_json(area_top3_ads(spark, d))
+
+
+# --- streams ---------------------------------------------------------------
+# A stream run writes its tables under the shared folder; the queries below
+# return the resulting tables. One run per (application, sf_dir) serves all
+# keys that read it.
+
+_RUNS: dict[tuple, object] = {}
+
+
+def _run_key(spark, d, name):
+    return (spark.sparkContext.applicationId, d, name)
+
+
+def _pipeline(spark, d) -> RealtimePipeline:
+    key = _run_key(spark, d, "pipeline")
+    if key not in _RUNS:
+        work = new_work_dir(spark, "realtime")
+        pipe = RealtimePipeline(spark, f"{work}/tables", PipelineConfig(threshold=P.THRESHOLD)).create()
+        lines = td.ad_log_batches(spark, d, P.N_BATCHES)
+        replay(spark, lines, P.N_BATCHES, f"{work}/feed",
+               lambda stream, ckpt: pipe.start(stream, ckpt, {"availableNow": True}))
+        _RUNS[key] = pipe
+    return _RUNS[key]
+
+
+@register
+def stream_realtime_pipeline(spark, d):
+    """R5 totals after the stream with blacklist feedback."""
+    return _pipeline(spark, d).area_totals()
+
+
+@register
+def stream_blacklist_users(spark, d):
+    return _pipeline(spark, d).blacklist(P.N_BATCHES - 1)
+
+
+@register
+def stream_area_top3_ads_json(spark, d):
+    return _pipeline(spark, d).top3_json()
+
+
+@register
+def stream_area_city_ad_counts(spark, d):
+    """Running totals in Spark's state store, over the whole ad log."""
+    key = _run_key(spark, d, "running")
+    if key not in _RUNS:
+        work = new_work_dir(spark, "running")
+        sink = KeyedUpsertLog(spark, f"{work}/totals", R5_SCHEMA, ["day", "area", "city", "ad_id"]).create()
+        lines = td.ad_log_batches(spark, d, P.N_BATCHES)
+        replay(spark, lines, P.N_BATCHES, f"{work}/feed",
+               lambda stream, ckpt: running_area_city_counts(stream, sink, ckpt, {"availableNow": True}))
+        _RUNS[key] = sink
+    return _RUNS[key].current()
+
+
+# --- sinks -----------------------------------------------------------------
+
+@register
+def table_overwrite(spark, d):
+    """R4 written twice with overwrite, read back: one copy remains."""
+    path = f"{new_work_dir(spark, 'table')}/area_count_info"
+    result = area_top3_products(spark, d)
+    overwrite_table(result, path=path)
+    overwrite_table(result, path=path)
+    return spark.read.parquet(path)
+
+
+@register
+def kv_upsert(spark, d):
+    """R5 totals through each arrival batch, upserted batch by batch; the
+    current value of every key must be its final total."""
+    sink = KeyedUpsertLog(spark, f"{new_work_dir(spark, 'kv')}/r5", R5_SCHEMA,
+                          ["day", "area", "city", "ad_id"]).create()
+    acc = _accepted(spark, d)
+    for b in range(P.N_BATCHES):
+        upto = ads.area_city_counts(acc.filter(F.col("batch_id") <= b))
+        changed = acc.filter(F.col("batch_id") == b).select("day", "area", "city", "ad_id").distinct()
+        sink.upsert(upto.join(changed, ["day", "area", "city", "ad_id"], "left_semi"), b)
+    return sink.current()

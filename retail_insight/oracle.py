@@ -196,3 +196,13 @@ SQL["area_ad_counts"] = ADS_VIEWS + "SELECT * FROM area_ad"
 SQL["area_top3_ads"] = ADS_VIEWS + "SELECT * FROM top3"
 SQL["area_top3_ads_json"] = ADS_VIEWS + """
 SELECT day, area, to_json(list(map([ad_id], [clicks]) ORDER BY rank)) AS ads_json FROM top3 GROUP BY day, area"""
+
+# --- streams and sinks -----------------------------------------------------
+
+SQL["stream_realtime_pipeline"] = SQL["area_city_ad_counts"]
+SQL["stream_blacklist_users"] = SQL["blacklist_users"]
+SQL["stream_area_top3_ads_json"] = SQL["area_top3_ads_json"]
+SQL["stream_area_city_ad_counts"] = ADS_VIEWS + """
+SELECT day, area, city, ad_id, count(*) AS clicks FROM ads GROUP BY day, area, city, ad_id"""
+SQL["table_overwrite"] = SQL["area_top3_products"]
+SQL["kv_upsert"] = SQL["area_city_ad_counts"]
