@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from . import oracle as P
 from .operators import ads, area, category, visits
 from .params import VisitFilter
+from .plans.area_count import area_top3_sql
+from .plans.offline import run_offline
+from .sources.tables import register_views
 from .session import new_work_dir
 from .sinks.kv import KeyedUpsertLog
 from .sinks.tables import overwrite_table
@@ -63,6 +66,13 @@ def area_top3_products(spark, d):
                                    td.product_info(spark, d))
 
 
+@register
+def area_top3_products_sql(spark, d):
+    """R4 as SQL text over temp views of the canonical tables."""
+    register_views(td.canonical_tables(spark, d))
+    return area_top3_sql(spark)
+
+
 # --- R1 / R2 ---------------------------------------------------------------
 
 def _visits(spark, d, f=None):
@@ -111,6 +121,19 @@ def category_top10_sessions(spark, d):
     return category.top_sessions(category_session_clicks(spark, d), P.TASK_ID)
 
 
+@register
+def offline_job_sessions(spark, d):
+    """The offline job end to end: R1 written, read back, R2 written."""
+    work = new_work_dir(spark, "offline")
+    result = run_offline(
+        spark, td.user_visit_action(spark, d), td.user_info(spark, d),
+        VisitFilter(P.START_DATE, P.END_DATE, P.START_AGE, P.END_AGE),
+        write=lambda df, table: overwrite_table(df, path=f"{work}/{table}"),
+        read=lambda table: spark.read.parquet(f"{work}/{table}"),
+        task_id=P.TASK_ID)
+    return result.top_sessions
+
+
 # --- R3 / R5 / R6, batch form ---------------------------------------------
 
 def _ads(spark, d):

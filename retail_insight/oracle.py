@@ -206,3 +206,5 @@ SQL["stream_area_city_ad_counts"] = ADS_VIEWS + """
 SELECT day, area, city, ad_id, count(*) AS clicks FROM ads GROUP BY day, area, city, ad_id"""
 SQL["table_overwrite"] = SQL["area_top3_products"]
 SQL["kv_upsert"] = SQL["area_city_ad_counts"]
+SQL["area_top3_products_sql"] = SQL["area_top3_products"]
+SQL["offline_job_sessions"] = SQL["category_top10_sessions"]

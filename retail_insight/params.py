@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
 
+_BARE_KEY = re.compile(r'([{,]\s*)([A-Za-z_][A-Za-z0-9_]*)\s*:')
+
 
 @dataclass(frozen=True)
 class VisitFilter:
@@ -42,6 +45,20 @@ class VisitFilter:
         return cls(obj.get("startDate"), obj.get("endDate"),
                    obj.get("startAge"), obj.get("endAge"))
 
+    @classmethod
+    def from_properties(cls, text: str, key: str = "condition.params.json") -> "VisitFilter":
+        """Read the condition object from a properties file's text.
+
+        Handles backslash line continuations and the unquoted object keys
+        the reference's file uses.
+        """
+        joined = re.sub(r"\\\s*\n\s*", "", text)
+        for line in joined.splitlines():
+            name, sep, value = line.partition("=")
+            if sep and name.strip() == key:
+                return cls.from_json(_BARE_KEY.sub(r'\1"\2":', value.strip()))
+        raise KeyError(key)
+
 
 # The job parameters shipped with the reference application.
 REFERENCE_FILTER = VisitFilter("2018-11-01", "2019-12-28", 20, 50)

@@ -100,11 +100,16 @@ class RealtimePipeline:
     def _area_step(self, ok: DataFrame, n: int) -> None:
         self.area_clicks.write_delta(ads.area_city_counts(ok), n)
         keys = self._delta_keys(self.area_clicks, n)
-        self.r5.upsert(self.area_clicks.totals(n, only=keys), n)
-
+        # One read of the totals serves both sinks: every key of the touched
+        # (day, area) groups, which R6 ranks and whose touched subset is R5.
         groups = keys.select("day", "area").distinct()
-        per_area = ads.area_counts(self.area_clicks.totals(n, only=groups, on=["day", "area"]))
-        self.r6.upsert(ads.top_ads_json(ads.top_ads(per_area, self.cfg.top)), n)
+        in_groups = self.area_clicks.totals(n, only=groups, on=["day", "area"]).persist()
+        try:
+            self.r5.upsert(in_groups.join(keys, list(AREA_KEY.fieldNames()), "left_semi"), n)
+            per_area = ads.area_counts(in_groups)
+            self.r6.upsert(ads.top_ads_json(ads.top_ads(per_area, self.cfg.top)), n)
+        finally:
+            in_groups.unpersist()
 
     @staticmethod
     def _delta_keys(totals: BatchTotals, n: int) -> DataFrame:
