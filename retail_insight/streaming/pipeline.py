@@ -45,7 +45,7 @@ class PipelineConfig:
     threshold: int = ads.DEFAULT_THRESHOLD
     top: int = ads.TOP_ADS
     tz: str = "UTC"
-    snapshot_every: int = 50
+    snapshot_every: int = 25
 
 
 class RealtimePipeline:
@@ -114,7 +114,7 @@ class RealtimePipeline:
     @staticmethod
     def _delta_keys(totals: BatchTotals, n: int) -> DataFrame:
         """Keys changed by batch N, read back from the partition just written."""
-        return (totals._read("delta").filter(F.col("batch_id") == n).select(*totals.keys))
+        return totals.read("delta", [n]).select(*totals.keys)
 
     # -- results --------------------------------------------------------------
     def blacklist(self, upto: int) -> DataFrame:

@@ -6,9 +6,10 @@ Layout under ``root``::
     snapshot/batch_id=S   the totals through batch S, for S a multiple of C
 
 Totals through batch N = snapshot S = (N // C) * C combined with the deltas
-of batches S+1..N; both reads are pruned on the ``batch_id`` partition, so a
-micro-batch reads one snapshot and at most C delta partitions however long
-the stream has run. Rewriting partition N (and snapshot N) is how a replayed
+of batches S+1..N. Those partitions are read by explicit path (micro-batch
+ids are consecutive), so a micro-batch lists and reads one snapshot and at
+most C delta folders however long the stream has run; nothing scans the
+whole table folder. Rewriting partition N (and snapshot N) is how a replayed
 batch stays idempotent: the same input gives the same files.
 """
 
@@ -25,7 +26,7 @@ _AGGS = {"sum": F.sum, "min": F.min, "max": F.max}
 
 class BatchTotals:
     def __init__(self, spark: SparkSession, root: str, key_schema: StructType, value: str,
-                 agg: str = "sum", snapshot_every: int = 50):
+                 agg: str = "sum", snapshot_every: int = 25):
         self.spark = spark
         self.root = root
         self.keys = [f.name for f in key_schema.fields]
@@ -46,8 +47,11 @@ class BatchTotals:
             empty.write.mode("overwrite").parquet(self._path(kind, -1))
         return self
 
-    def _read(self, kind: str) -> DataFrame:
-        return self.spark.read.schema(self.read_schema).parquet(f"{self.root}/{kind}")
+    def read(self, kind: str, batch_ids) -> DataFrame:
+        """The given partitions only (``batch_id`` stays a column)."""
+        paths = [self._path(kind, b) for b in batch_ids]
+        return (self.spark.read.schema(self.read_schema)
+                .option("basePath", f"{self.root}/{kind}").parquet(*paths))
 
     # -- reads --------------------------------------------------------------
     def _snapshot_before(self, batch_id: int) -> int:
@@ -55,8 +59,10 @@ class BatchTotals:
         return s if s > 0 else -1
 
     def _combined(self, upto: int, snapshot: int) -> DataFrame:
-        snap = self._read("snapshot").filter(F.col("batch_id") == snapshot)
-        deltas = self._read("delta").filter((F.col("batch_id") > snapshot) & (F.col("batch_id") <= upto))
+        snap = self.read("snapshot", [snapshot])
+        if upto <= snapshot:
+            return snap.drop("batch_id")
+        deltas = self.read("delta", range(snapshot + 1, upto + 1))
         return snap.unionByName(deltas).drop("batch_id")
 
     def totals(self, upto: int, only: DataFrame | None = None, on: Sequence[str] | None = None) -> DataFrame:
