@@ -84,3 +84,18 @@ def test_running_totals_survive_restart(spark):
     replay(spark, lines, 6, f"{work}/feed", start, steps=range(3, 6))
     expected = ads.area_city_counts(adlog.accepted_lines(adlog.parse_ad_log(lines)))
     assert rows(sink.current(), KEYS + ["clicks"]) == rows(expected, KEYS + ["clicks"])
+
+
+def test_late_event_counts_in_its_own_day(spark):
+    day = 86_400_000
+    rows = [(0, f"{T0 + day} North C1 1 1"), (1, f"{T0 + day + 5} North C1 1 1"),
+            (2, f"{T0 + 5} North C1 2 1")]          # arrives last, belongs to the first day
+    lines = spark.createDataFrame(rows, "batch_id long, value string")
+    work = new_work_dir(spark, "test-late")
+    pipe = RealtimePipeline(spark, f"{work}/tables", PipelineConfig(threshold=100)).create()
+    for b in range(3):
+        pipe.process(lines.filter(F.col("batch_id") == b).select("value"), b)
+    got = {(r.day, r.clicks) for r in pipe.area_totals().collect()}
+    assert got == {("2024-01-02", 2), ("2024-01-01", 1)}
+    json_by_day = {r.day: r.ads_json for r in pipe.top3_json().collect()}
+    assert json_by_day == {"2024-01-01": '[{"1":1}]', "2024-01-02": '[{"1":2}]'}
