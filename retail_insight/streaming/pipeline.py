@@ -2,14 +2,15 @@
 
 Per micro-batch N, all in native Spark SQL:
 
-1. parse the lines; bad lines go to ``rejected/batch_id=N``;
-2. drop events of users listed in batches < N (anti join);
-3. add the batch's clicks per (day, user, ad) to the user counters; users
+1. parse the lines and land them in ``parsed/batch_id=N`` with a validity
+   flag (bad lines are the side output) and a flag for users listed in
+   batches < N, whose events are dropped;
+2. add the batch's clicks per (day, user, ad) to the user counters; users
    whose counter for this batch's keys reaches the threshold are listed
    with batch N (they are filtered from batch N+1 on);
-4. add the batch's clicks per (day, area, city, ad) to the area counters and
+3. add the batch's clicks per (day, area, city, ad) to the area counters and
    upsert the new totals of the touched keys (R5);
-5. recompute the top ads of every touched (day, area) and upsert their JSON
+4. recompute the top ads of every touched (day, area) and upsert their JSON
    (R6).
 
 Every table is partitioned by batch id and written with overwrite of that
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from .. import schemas
 from ..operators import ads
@@ -61,33 +62,35 @@ class RealtimePipeline:
         self.area_clicks = BatchTotals(spark, f"{root}/area_clicks", AREA_KEY, "clicks", "sum", every)
         self.r5 = KeyedUpsertLog(spark, f"{root}/area_city_ad_totals", R5_SCHEMA, ["day", "area", "city", "ad_id"])
         self.r6 = KeyedUpsertLog(spark, f"{root}/area_top3_ads", R6_SCHEMA, ["day", "area"])
-        self.rejected_root = f"{root}/rejected"
+        self.parsed_root = f"{root}/parsed"
+        self._parsed_schema = StructType([*schemas.AD_LOG.fields, StructField("value", _S),
+                                          StructField("is_valid", BooleanType()),
+                                          StructField("blocked", BooleanType())])
 
     def create(self) -> "RealtimePipeline":
         for t in (self.user_clicks, self.listed, self.area_clicks, self.r5, self.r6):
             t.create()
-        self.spark.createDataFrame([], schemas.AD_LOG_LINE).write.mode("overwrite").parquet(
-            f"{self.rejected_root}/batch_id=-1")
+        self.spark.createDataFrame([], self._parsed_schema).write.mode("overwrite").parquet(
+            f"{self.parsed_root}/batch_id=-1")
         return self
 
     # -- the micro-batch function -------------------------------------------
     def process(self, lines: DataFrame, batch_id: int) -> None:
         n = int(batch_id)
-        parsed = adlog.parse_ad_log(lines, tz=self.cfg.tz).persist()
-        try:
-            adlog.rejected_lines(parsed).write.mode("overwrite").parquet(
-                f"{self.rejected_root}/batch_id={n}")
-            good = adlog.accepted_lines(parsed)
-
-            listed_before = self.listed.totals(n - 1).select("user_id")
-            ok = good.join(listed_before, "user_id", "left_anti").persist()
-            try:
-                self._blacklist_step(ok, n)
-                self._area_step(ok, n)
-            finally:
-                ok.unpersist()
-        finally:
-            parsed.unpersist()
+        # Land the batch once, parsed, with a validity flag and a flag for
+        # users listed in earlier batches. Later steps read this table: no
+        # cached shuffle output (Spark keeps 200 partitions for those), no
+        # lineage back to the source, and bad lines are a filter on it.
+        listed_before = self.listed.totals(n - 1).select(
+            "user_id", F.lit(True).alias("blocked"))
+        flagged = (adlog.parse_ad_log(lines, tz=self.cfg.tz)
+                   .join(listed_before, "user_id", "left")
+                   .withColumn("blocked", F.coalesce("blocked", F.lit(False))))
+        flagged.write.mode("overwrite").parquet(f"{self.parsed_root}/batch_id={n}")
+        landed = self.spark.read.schema(self._parsed_schema).parquet(f"{self.parsed_root}/batch_id={n}")
+        ok = landed.filter(F.col("is_valid") & ~F.col("blocked")).drop("is_valid", "blocked", "value")
+        self._blacklist_step(ok, n)
+        self._area_step(ok, n)
 
     def _blacklist_step(self, ok: DataFrame, n: int) -> None:
         delta = ads.user_day_clicks(ok)
@@ -100,16 +103,14 @@ class RealtimePipeline:
     def _area_step(self, ok: DataFrame, n: int) -> None:
         self.area_clicks.write_delta(ads.area_city_counts(ok), n)
         keys = self._delta_keys(self.area_clicks, n)
-        # One read of the totals serves both sinks: every key of the touched
-        # (day, area) groups, which R6 ranks and whose touched subset is R5.
+        # Totals of every key in the touched (day, area) groups: R6 ranks
+        # them, R5 upserts the touched subset. Each sink re-reads the bounded
+        # state (one snapshot + at most C deltas) rather than caching it.
         groups = keys.select("day", "area").distinct()
-        in_groups = self.area_clicks.totals(n, only=groups, on=["day", "area"]).persist()
-        try:
-            self.r5.upsert(in_groups.join(keys, list(AREA_KEY.fieldNames()), "left_semi"), n)
-            per_area = ads.area_counts(in_groups)
-            self.r6.upsert(ads.top_ads_json(ads.top_ads(per_area, self.cfg.top)), n)
-        finally:
-            in_groups.unpersist()
+        in_groups = self.area_clicks.totals(n, only=groups, on=["day", "area"])
+        self.r5.upsert(in_groups.join(keys, list(AREA_KEY.fieldNames()), "left_semi"), n)
+        per_area = ads.area_counts(in_groups)
+        self.r6.upsert(ads.top_ads_json(ads.top_ads(per_area, self.cfg.top)), n)
 
     @staticmethod
     def _delta_keys(totals: BatchTotals, n: int) -> DataFrame:
@@ -127,8 +128,10 @@ class RealtimePipeline:
         return self.r6.current()
 
     def rejected(self) -> DataFrame:
-        schema = StructType([*schemas.AD_LOG_LINE.fields, StructField("batch_id", LongType())])
-        return self.spark.read.schema(schema).parquet(self.rejected_root)
+        """Lines set aside as unparseable, with the batch they came in."""
+        schema = StructType([*self._parsed_schema.fields, StructField("batch_id", LongType())])
+        landed = self.spark.read.schema(schema).parquet(self.parsed_root)
+        return landed.filter(~F.col("is_valid")).select("value", "batch_id")
 
     def start(self, lines: DataFrame, checkpoint: str, trigger: dict | None = None):
         """Run on a streaming DataFrame of lines (``value`` column)."""
