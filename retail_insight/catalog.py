@@ -16,7 +16,7 @@ from .params import VisitFilter
 from .plans.area_count import area_top3_sql
 from .plans.offline import run_offline
 from .sources.tables import register_views
-from .session import new_work_dir
+from .session import new_work_dir, stream_session
 from .sinks.kv import KeyedUpsertLog
 from .sinks.tables import overwrite_table
 from .streaming.pipeline import R5_SCHEMA, PipelineConfig, RealtimePipeline
@@ -236,7 +236,8 @@ def stream_area_city_ad_counts(spark, d):
         sink = KeyedUpsertLog(spark, f"{work}/totals", R5_SCHEMA, ["day", "area", "city", "ad_id"]).create()
         lines = td.ad_log_batches(spark, d, P.N_BATCHES)
         replay(spark, lines, P.N_BATCHES, f"{work}/feed",
-               lambda stream, ckpt: running_area_city_counts(stream, sink, ckpt, {"availableNow": True}))
+               lambda stream, ckpt: running_area_city_counts(stream, sink, ckpt, {"availableNow": True}),
+               stream_spark=stream_session(spark))
         _RUNS[key] = sink
     return _RUNS[key].current()
 

@@ -51,3 +51,17 @@ def shared_root(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared root."""
     return f"{shared_root(spark)}/retail_insight/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session for a stateful stream whose shuffle width fits the cluster.
+
+    A streaming aggregation fixes its number of state partitions from
+    ``spark.sql.shuffle.partitions`` at first start (it is then stored in the
+    checkpoint). A sibling session shares the SparkContext and sets that
+    width to the cluster's parallelism unless told otherwise.
+    """
+    s = spark.newSession()
+    s.conf.set("spark.sql.shuffle.partitions",
+               str(state_partitions or spark.sparkContext.defaultParallelism))
+    return s

@@ -20,16 +20,17 @@ from .source import text_lines
 
 def replay(spark: SparkSession, lines: DataFrame, n_batches: int, work: str,
            start: Callable[[DataFrame, str], StreamingQuery],
-           steps: range | None = None) -> str:
+           steps: range | None = None, stream_spark: SparkSession | None = None) -> str:
     """``lines`` has ``value`` and ``batch_id``; ``start(stream, checkpoint)``
-    starts the query with an availableNow trigger. Returns the landing folder."""
+    starts the query with an availableNow trigger. The stream is read through
+    ``stream_spark`` when given. Returns the landing folder."""
     staged, landing, checkpoint = f"{work}/staged", f"{work}/landing", f"{work}/checkpoint"
     if steps is None or steps.start == 0:
         lines.select("value", "batch_id").write.mode("overwrite").partitionBy("batch_id").parquet(staged)
     for i in steps or range(n_batches):
         step = spark.read.parquet(staged).filter(F.col("batch_id") == i).select("value")
         step.write.mode("append").text(landing)
-        query = start(text_lines(spark, landing), checkpoint)
+        query = start(text_lines(stream_spark or spark, landing), checkpoint)
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()

@@ -5,7 +5,9 @@ it changed, with their new totals, into a keyed upsert log. State and source
 offsets live in the checkpoint, so a restart continues the totals instead of
 starting from zero. State is kept for every key, as in the reference; a
 deployment that must bound it can group by a daily event-time window with a
-watermark instead of the day string.
+watermark instead of the day string. The number of state partitions is
+``spark.sql.shuffle.partitions`` of the stream's session at first start;
+``session.stream_session`` makes one sized to the cluster.
 """
 
 from __future__ import annotations
