@@ -99,3 +99,22 @@ def test_late_event_counts_in_its_own_day(spark):
     assert got == {("2024-01-02", 2), ("2024-01-01", 1)}
     json_by_day = {r.day: r.ads_json for r in pipe.top3_json().collect()}
     assert json_by_day == {"2024-01-01": '[{"1":1}]', "2024-01-02": '[{"1":2}]'}
+
+
+def test_realtime_job_resumes_from_its_checkpoint(spark):
+    import uuid
+
+    from retail_insight.plans.realtime import start_realtime
+
+    lines = fixture_lines(spark)
+    folder = f"{new_work_dir(spark, 'test-job')}/landing"
+    name = f"test-job-{uuid.uuid4().hex[:8]}"
+    cfg = PipelineConfig(threshold=3, snapshot_every=2)
+    for b in range(6):
+        lines.filter(F.col("batch_id") == b).select("value").write.mode("append").text(folder)
+        pipe, query = start_realtime(spark, folder=folder, name=name, config=cfg,
+                                     trigger={"availableNow": True})
+        query.awaitTermination()
+    bl, totals, top = batch_expected(spark, lines, 3)
+    assert rows(pipe.blacklist(5)) == rows(bl)
+    assert rows(pipe.area_totals(), KEYS + ["clicks"]) == rows(totals, KEYS + ["clicks"])
