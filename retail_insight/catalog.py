@@ -36,8 +36,13 @@ def register(fn: Query) -> Query:
 
 # --- R4 --------------------------------------------------------------------
 
+def _t(spark, d, name):
+    """A canonical input, stored once per application from the driver's tables."""
+    return td.stored_tables(spark, d, P.N_BATCHES)[name]
+
+
 def _actions(spark, d):
-    return area.action_city(td.user_visit_action(spark, d), td.city_info(spark, d))
+    return area.action_city(_t(spark, d, "user_visit_action"), _t(spark, d, "city_info"))
 
 
 @register
@@ -62,21 +67,21 @@ def area_product_top3(spark, d):
 
 @register
 def area_top3_products(spark, d):
-    return area.area_top3_products(td.user_visit_action(spark, d), td.city_info(spark, d),
-                                   td.product_info(spark, d))
+    return area.area_top3_products(_t(spark, d, "user_visit_action"), _t(spark, d, "city_info"),
+                                   _t(spark, d, "product_info"))
 
 
 @register
 def area_top3_products_sql(spark, d):
     """R4 as SQL text over temp views of the canonical tables."""
-    register_views(td.canonical_tables(spark, d))
+    register_views({n: _t(spark, d, n) for n in ("user_visit_action", "city_info", "product_info")})
     return area_top3_sql(spark)
 
 
 # --- R1 / R2 ---------------------------------------------------------------
 
 def _visits(spark, d, f=None):
-    return visits.filter_visits(td.user_visit_action(spark, d), td.user_info(spark, d),
+    return visits.filter_visits(_t(spark, d, "user_visit_action"), _t(spark, d, "user_info"),
                                 f or VisitFilter(P.START_DATE, P.END_DATE, P.START_AGE, P.END_AGE))
 
 
@@ -126,7 +131,7 @@ def offline_job_sessions(spark, d):
     """The offline job end to end: R1 written, read back, R2 written."""
     work = new_work_dir(spark, "offline")
     result = run_offline(
-        spark, td.user_visit_action(spark, d), td.user_info(spark, d),
+        spark, _t(spark, d, "user_visit_action"), _t(spark, d, "user_info"),
         VisitFilter(P.START_DATE, P.END_DATE, P.START_AGE, P.END_AGE),
         write=lambda df, table: overwrite_table(df, path=f"{work}/{table}"),
         read=lambda table: spark.read.parquet(f"{work}/{table}"),
@@ -138,7 +143,7 @@ def offline_job_sessions(spark, d):
 
 def _ads(spark, d):
     """Parsed ad log with the micro-batch of arrival."""
-    lines = td.ad_log_batches(spark, d, P.N_BATCHES)
+    lines = _t(spark, d, "ad_log_lines")
     return adlog.accepted_lines(adlog.parse_ad_log(lines, keep=("event_id", "batch_id")))
 
 
@@ -204,7 +209,7 @@ def _pipeline(spark, d) -> RealtimePipeline:
     if key not in _RUNS:
         work = new_work_dir(spark, "realtime")
         pipe = RealtimePipeline(spark, f"{work}/tables", PipelineConfig(threshold=P.THRESHOLD)).create()
-        lines = td.ad_log_batches(spark, d, P.N_BATCHES)
+        lines = _t(spark, d, "ad_log_lines")
         replay(spark, lines, P.N_BATCHES, f"{work}/feed",
                lambda stream, ckpt: pipe.start(stream, ckpt, {"availableNow": True}))
         _RUNS[key] = pipe
@@ -234,7 +239,7 @@ def stream_area_city_ad_counts(spark, d):
     if key not in _RUNS:
         work = new_work_dir(spark, "running")
         sink = KeyedUpsertLog(spark, f"{work}/totals", R5_SCHEMA, ["day", "area", "city", "ad_id"]).create()
-        lines = td.ad_log_batches(spark, d, P.N_BATCHES)
+        lines = _t(spark, d, "ad_log_lines")
         replay(spark, lines, P.N_BATCHES, f"{work}/feed",
                lambda stream, ckpt: running_area_city_counts(stream, sink, ckpt, {"availableNow": True}),
                stream_spark=stream_session(spark))
