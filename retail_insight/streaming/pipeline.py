@@ -21,6 +21,8 @@ exactly-once results.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +43,14 @@ R5_SCHEMA = StructType([*AREA_KEY.fields, StructField("clicks", LongType())])
 R6_SCHEMA = StructType([StructField(c, _S) for c in ("day", "area", "ads_json")])
 
 
+def _together(*steps: Callable[[], None]) -> None:
+    """Run independent Spark actions from parallel driver threads; the
+    scheduler interleaves their tasks. The first failure is raised."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        for future in [pool.submit(step) for step in steps]:
+            future.result()
+
+
 @dataclass
 class PipelineConfig:
     threshold: int = ads.DEFAULT_THRESHOLD
@@ -89,8 +99,9 @@ class RealtimePipeline:
         flagged.write.mode("overwrite").parquet(f"{self.parsed_root}/batch_id={n}")
         landed = self.spark.read.schema(self._parsed_schema).parquet(f"{self.parsed_root}/batch_id={n}")
         ok = landed.filter(F.col("is_valid") & ~F.col("blocked")).drop("is_valid", "blocked", "value")
-        self._blacklist_step(ok, n)
-        self._area_step(ok, n)
+        # The user counters and the area counters only share the landed
+        # batch: their jobs are submitted side by side.
+        _together(lambda: self._blacklist_step(ok, n), lambda: self._area_step(ok, n))
 
     def _blacklist_step(self, ok: DataFrame, n: int) -> None:
         delta = ads.user_day_clicks(ok)
@@ -108,9 +119,9 @@ class RealtimePipeline:
         # state (one snapshot + at most C deltas) rather than caching it.
         groups = keys.select("day", "area").distinct()
         in_groups = self.area_clicks.totals(n, only=groups, on=["day", "area"])
-        self.r5.upsert(in_groups.join(keys, list(AREA_KEY.fieldNames()), "left_semi"), n)
-        per_area = ads.area_counts(in_groups)
-        self.r6.upsert(ads.top_ads_json(ads.top_ads(per_area, self.cfg.top)), n)
+        r5 = in_groups.join(keys, list(AREA_KEY.fieldNames()), "left_semi")
+        r6 = ads.top_ads_json(ads.top_ads(ads.area_counts(in_groups), self.cfg.top))
+        _together(lambda: self.r5.upsert(r5, n), lambda: self.r6.upsert(r6, n))
 
     @staticmethod
     def _delta_keys(totals: BatchTotals, n: int) -> DataFrame:
