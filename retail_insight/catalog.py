@@ -219,7 +219,7 @@ def _pipeline(spark, d) -> RealtimePipeline:
 @register
 def stream_realtime_pipeline(spark, d):
     """R5 totals after the stream with blacklist feedback."""
-    return _pipeline(spark, d).area_totals()
+    return _pipeline(spark, d).area_totals(P.N_BATCHES - 1)
 
 
 @register
@@ -229,7 +229,7 @@ def stream_blacklist_users(spark, d):
 
 @register
 def stream_area_top3_ads_json(spark, d):
-    return _pipeline(spark, d).top3_json()
+    return _pipeline(spark, d).top3_json(P.N_BATCHES - 1)
 
 
 @register
@@ -244,7 +244,7 @@ def stream_area_city_ad_counts(spark, d):
                lambda stream, ckpt: running_area_city_counts(stream, sink, ckpt, {"availableNow": True}),
                stream_spark=stream_session(spark))
         _RUNS[key] = sink
-    return _RUNS[key].current()
+    return _RUNS[key].current(P.N_BATCHES - 1)
 
 
 # --- sinks -----------------------------------------------------------------
@@ -270,4 +270,4 @@ def kv_upsert(spark, d):
         upto = ads.area_city_counts(acc.filter(F.col("batch_id") <= b))
         changed = acc.filter(F.col("batch_id") == b).select("day", "area", "city", "ad_id").distinct()
         sink.upsert(upto.join(changed, ["day", "area", "city", "ad_id"], "left_semi"), b)
-    return sink.current()
+    return sink.current(P.N_BATCHES - 1)

@@ -2,8 +2,10 @@
 
 ``KeyedUpsertLog`` writes each micro-batch's updated keys to partition
 ``batch_id=N`` (overwrite, so a replay is idempotent); the current value of a
-key is its row from the highest batch. ``write_with`` lets a caller plug in
-an external key-value client per partition instead of the table.
+key is its row from the highest batch. Snapshots every C batches keep the
+read of the current state bounded (see ``streaming.totals``). ``write_with``
+lets a caller send rows to an external key-value store instead, one client
+per partition.
 """
 
 from __future__ import annotations
@@ -12,32 +14,27 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
+from ..streaming.totals import BatchLog
 
-class KeyedUpsertLog:
-    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: Sequence[str]):
-        self.spark = spark
-        self.root = root
-        self.schema = schema
-        self.keys = list(keys)
-        self.values = [f.name for f in schema.fields if f.name not in self.keys]
-        self.read_schema = StructType([*schema.fields, StructField("batch_id", LongType(), True)])
 
-    def create(self) -> "KeyedUpsertLog":
-        self.spark.createDataFrame([], self.schema).write.mode("overwrite").parquet(
-            f"{self.root}/batch_id=-1")
-        return self
+class KeyedUpsertLog(BatchLog):
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: Sequence[str],
+                 snapshot_every: int = 25):
+        super().__init__(spark, root, schema, keys, snapshot_every)
 
-    def upsert(self, updates: DataFrame, batch_id: int) -> None:
-        updates.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(
-            f"{self.root}/batch_id={batch_id}")
-
-    def current(self) -> DataFrame:
+    def fold(self, rows: DataFrame) -> DataFrame:
         """Latest value per key (``max_by`` over the batch id: one pass, no sort)."""
-        log = self.spark.read.schema(self.read_schema).parquet(self.root)
         latest = F.max_by(F.struct(*self.values), "batch_id").alias("_v")
-        return log.groupBy(*self.keys).agg(latest).select(*self.keys, "_v.*")
+        return rows.groupBy(*self.keys).agg(latest).select(*self.keys, "_v.*")
+
+    def upsert(self, updates: DataFrame, batch_id: int) -> None:
+        self.write(updates, batch_id)
+
+    def current(self, upto: int | None = None) -> DataFrame:
+        """Current values as of batch ``upto`` (bounded read), or of the whole log."""
+        return self.state(upto) if upto is not None else self.fold(self.read_all())
 
 
 def write_with(updates: DataFrame, client_factory: Callable[[], object],

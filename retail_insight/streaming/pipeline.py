@@ -70,8 +70,9 @@ class RealtimePipeline:
         self.user_clicks = BatchTotals(spark, f"{root}/user_clicks", USER_KEY, "clicks", "sum", every)
         self.listed = BatchTotals(spark, f"{root}/blacklist", LISTED_KEY, "listed_batch", "min", every)
         self.area_clicks = BatchTotals(spark, f"{root}/area_clicks", AREA_KEY, "clicks", "sum", every)
-        self.r5 = KeyedUpsertLog(spark, f"{root}/area_city_ad_totals", R5_SCHEMA, ["day", "area", "city", "ad_id"])
-        self.r6 = KeyedUpsertLog(spark, f"{root}/area_top3_ads", R6_SCHEMA, ["day", "area"])
+        self.r5 = KeyedUpsertLog(spark, f"{root}/area_city_ad_totals", R5_SCHEMA,
+                                 ["day", "area", "city", "ad_id"], every)
+        self.r6 = KeyedUpsertLog(spark, f"{root}/area_top3_ads", R6_SCHEMA, ["day", "area"], every)
         self.parsed_root = f"{root}/parsed"
         self._parsed_schema = StructType([*schemas.AD_LOG.fields, StructField("value", _S),
                                           StructField("is_valid", BooleanType()),
@@ -132,11 +133,11 @@ class RealtimePipeline:
     def blacklist(self, upto: int) -> DataFrame:
         return self.listed.totals(upto)
 
-    def area_totals(self) -> DataFrame:
-        return self.r5.current()
+    def area_totals(self, upto: int | None = None) -> DataFrame:
+        return self.r5.current(upto)
 
-    def top3_json(self) -> DataFrame:
-        return self.r6.current()
+    def top3_json(self, upto: int | None = None) -> DataFrame:
+        return self.r6.current(upto)
 
     def rejected(self) -> DataFrame:
         """Lines set aside as unparseable, with the batch they came in."""

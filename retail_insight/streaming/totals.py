@@ -1,16 +1,19 @@
-"""Running totals kept as batch-stamped delta partitions plus periodic snapshots.
+"""Per-batch change partitions plus periodic snapshots, folded on read.
 
 Layout under ``root``::
 
-    delta/batch_id=N      the change of batch N (one row per key)
-    snapshot/batch_id=S   the totals through batch S, for S a multiple of C
+    delta/batch_id=N      the change of batch N
+    snapshot/batch_id=S   the fold of all changes through batch S (S a multiple of C)
 
-Totals through batch N = snapshot S = (N // C) * C combined with the deltas
-of batches S+1..N. Those partitions are read by explicit path (micro-batch
-ids are consecutive), so a micro-batch lists and reads one snapshot and at
-most C delta folders however long the stream has run; nothing scans the
-whole table folder. Rewriting partition N (and snapshot N) is how a replayed
-batch stays idempotent: the same input gives the same files.
+The state through batch N is the fold of snapshot S = (N // C) * C and the
+deltas of batches S+1..N. Those partitions are read by explicit path
+(micro-batch ids are consecutive), so a micro-batch lists and reads one
+snapshot and at most C delta folders however long the stream has run;
+nothing scans the whole table folder. Rewriting partition N (and snapshot N)
+is how a replayed batch stays idempotent: the same input gives the same files.
+
+``BatchTotals`` folds by sum or min (counters, first listing batch);
+``sinks.kv.KeyedUpsertLog`` folds by latest value per key.
 """
 
 from __future__ import annotations
@@ -21,26 +24,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-_AGGS = {"sum": F.sum, "min": F.min, "max": F.max}
-
 
-class BatchTotals:
-    def __init__(self, spark: SparkSession, root: str, key_schema: StructType, value: str,
-                 agg: str = "sum", snapshot_every: int = 25):
+class BatchLog:
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: Sequence[str],
+                 snapshot_every: int = 25):
         self.spark = spark
         self.root = root
-        self.keys = [f.name for f in key_schema.fields]
-        self.value = value
-        self.agg = _AGGS[agg]
+        self.schema = schema
+        self.keys = list(keys)
+        self.values = [f for f in schema.fieldNames() if f not in self.keys]
         self.every = snapshot_every
-        self.schema = StructType([*key_schema.fields, StructField(value, LongType(), True)])
-        self.read_schema = StructType([*self.schema.fields, StructField("batch_id", LongType(), True)])
+        self.read_schema = StructType([*schema.fields, StructField("batch_id", LongType(), True)])
+
+    def fold(self, rows: DataFrame) -> DataFrame:
+        """Rows (keys, values, batch_id) -> one row per key (keys, values)."""
+        raise NotImplementedError
 
     # -- layout -------------------------------------------------------------
     def _path(self, kind: str, batch_id: int) -> str:
         return f"{self.root}/{kind}/batch_id={batch_id}"
 
-    def create(self) -> "BatchTotals":
+    def create(self):
         """Empty partition -1 in both folders, so the first reads find a table."""
         empty = self.spark.createDataFrame([], self.schema)
         for kind in ("delta", "snapshot"):
@@ -53,6 +57,10 @@ class BatchTotals:
         return (self.spark.read.schema(self.read_schema)
                 .option("basePath", f"{self.root}/{kind}").parquet(*paths))
 
+    def read_all(self) -> DataFrame:
+        """Every delta partition: for audits, not for per-batch work."""
+        return self.spark.read.schema(self.read_schema).parquet(f"{self.root}/delta")
+
     # -- reads --------------------------------------------------------------
     def _snapshot_before(self, batch_id: int) -> int:
         s = (batch_id // self.every) * self.every
@@ -61,22 +69,42 @@ class BatchTotals:
     def _combined(self, upto: int, snapshot: int) -> DataFrame:
         snap = self.read("snapshot", [snapshot])
         if upto <= snapshot:
-            return snap.drop("batch_id")
-        deltas = self.read("delta", range(snapshot + 1, upto + 1))
-        return snap.unionByName(deltas).drop("batch_id")
+            return snap
+        return snap.unionByName(self.read("delta", range(snapshot + 1, upto + 1)))
 
-    def totals(self, upto: int, only: DataFrame | None = None, on: Sequence[str] | None = None) -> DataFrame:
-        """Totals through batch ``upto``; ``only`` restricts to matching keys first."""
+    def state(self, upto: int, only: DataFrame | None = None, on: Sequence[str] | None = None) -> DataFrame:
+        """State through batch ``upto``; ``only`` restricts to matching keys first."""
         rows = self._combined(upto, self._snapshot_before(upto))
         if only is not None:
             rows = rows.join(only, list(on or self.keys), "left_semi")
-        return rows.groupBy(*self.keys).agg(self.agg(self.value).cast("long").alias(self.value))
+        return self.fold(rows)
 
     # -- writes -------------------------------------------------------------
-    def write_delta(self, delta: DataFrame, batch_id: int) -> None:
-        delta.select(*self.keys, F.col(self.value).cast("long")).write.mode("overwrite").parquet(
+    def write(self, delta: DataFrame, batch_id: int) -> None:
+        delta.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(
             self._path("delta", batch_id))
         if batch_id > 0 and batch_id % self.every == 0:
-            full = self._combined(batch_id, self._snapshot_before(batch_id - 1))
-            (full.groupBy(*self.keys).agg(self.agg(self.value).cast("long").alias(self.value))
-             .write.mode("overwrite").parquet(self._path("snapshot", batch_id)))
+            rows = self._combined(batch_id, self._snapshot_before(batch_id - 1))
+            self.fold(rows).write.mode("overwrite").parquet(self._path("snapshot", batch_id))
+
+
+class BatchTotals(BatchLog):
+    """Counters (sum) or first-seen markers (min) per key."""
+
+    _AGGS = {"sum": F.sum, "min": F.min, "max": F.max}
+
+    def __init__(self, spark: SparkSession, root: str, key_schema: StructType, value: str,
+                 agg: str = "sum", snapshot_every: int = 25):
+        schema = StructType([*key_schema.fields, StructField(value, LongType(), True)])
+        super().__init__(spark, root, schema, key_schema.fieldNames(), snapshot_every)
+        self.value = value
+        self.agg = self._AGGS[agg]
+
+    def fold(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.keys).agg(self.agg(self.value).cast("long").alias(self.value))
+
+    def totals(self, upto: int, only: DataFrame | None = None, on: Sequence[str] | None = None) -> DataFrame:
+        return self.state(upto, only, on)
+
+    def write_delta(self, delta: DataFrame, batch_id: int) -> None:
+        self.write(delta.withColumn(self.value, F.col(self.value).cast("long")), batch_id)

@@ -53,6 +53,10 @@ def test_stream_equals_batch_with_restarts(spark):
     assert rows(pipe.blacklist(5)) == rows(bl)
     assert rows(pipe.area_totals(), KEYS + ["clicks"]) == rows(totals, KEYS + ["clicks"])
     assert rows(pipe.top3_json()) == rows(top)
+    # bounded reads (snapshot every 2 batches + later deltas) equal full-log reads
+    assert rows(pipe.area_totals(5), KEYS + ["clicks"]) == rows(totals, KEYS + ["clicks"])
+    assert rows(pipe.top3_json(5)) == rows(top)
+    assert rows(pipe.top3_json(3)) == rows(pipe.r6.fold(pipe.r6.read_all().filter("batch_id <= 3")))
     assert [r.value for r in pipe.rejected().collect()] == ["not a line"]
     assert bl.count() > 0
 
