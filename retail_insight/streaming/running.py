@@ -3,25 +3,47 @@
 A streaming aggregation in update mode: each micro-batch emits only the keys
 it changed, with their new totals, into a keyed upsert log. State and source
 offsets live in the checkpoint, so a restart continues the totals instead of
-starting from zero. State is kept for every key, as in the reference; a
-deployment that must bound it can group by a daily event-time window with a
-watermark instead of the day string. The number of state partitions is
-``spark.sql.shuffle.partitions`` of the stream's session at first start;
-``session.stream_session`` makes one sized to the cluster.
+starting from zero.
+
+By default state is kept for every key, as in the reference, and a late
+event counts in its own day whenever it arrives. With ``retain`` (an
+interval such as ``"2 days"``) the day becomes a one-day event-time window
+under a watermark of that delay: Spark then drops the state of days older
+than the watermark, and events arriving later than that are not counted.
+
+The number of state partitions is ``spark.sql.shuffle.partitions`` of the
+stream's session at first start; ``session.stream_session`` makes one sized
+to the cluster.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..functions.days import day_of_epoch_ms
 from ..operators import ads
 from ..sinks.kv import KeyedUpsertLog
 from ..sources import adlog
 
 
+def _counts_with_retention(parsed: DataFrame, retain: str) -> DataFrame:
+    timed = parsed.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", retain)
+    per_window = timed.groupBy(F.window("event_time", "1 day").alias("w"), "area", "city", "ad_id").agg(
+        F.count(F.lit(1)).alias("clicks"))
+    return per_window.select(day_of_epoch_ms(F.unix_millis(F.col("w.start"))).alias("day"),
+                             "area", "city", "ad_id", "clicks")
+
+
 def running_area_city_counts(lines: DataFrame, sink: KeyedUpsertLog, checkpoint: str,
-                             trigger: dict | None = None, tz: str = "UTC"):
-    counts = ads.area_city_counts(adlog.accepted_lines(adlog.parse_ad_log(lines, tz=tz)))
+                             trigger: dict | None = None, tz: str = "UTC", retain: str | None = None):
+    parsed = adlog.accepted_lines(adlog.parse_ad_log(lines, tz=tz))
+    if retain is None:
+        counts = ads.area_city_counts(parsed)
+    else:
+        if tz.upper() != "UTC":
+            raise ValueError("event-time day windows are aligned to UTC")
+        counts = _counts_with_retention(parsed, retain)
     return (counts.writeStream.outputMode("update")
             .foreachBatch(lambda df, batch_id: sink.upsert(df, batch_id))
             .option("checkpointLocation", checkpoint)

@@ -122,3 +122,21 @@ def test_realtime_job_resumes_from_its_checkpoint(spark):
     bl, totals, top = batch_expected(spark, lines, 3)
     assert rows(pipe.blacklist(5)) == rows(bl)
     assert rows(pipe.area_totals(), KEYS + ["clicks"]) == rows(totals, KEYS + ["clicks"])
+
+
+def test_running_totals_with_retention_drop_only_too_late_events(spark):
+    day = 86_400_000
+    rows = [(0, f"{T0 + 5} North C1 1 1"), (0, f"{T0 + day + 5} North C1 1 1"),
+            (1, f"{T0 + 3 * day} North C1 1 1"),     # moves the watermark past day 1
+            (2, f"{T0 + 7} North C1 1 1"),           # day 1 again: later than the watermark
+            (2, f"{T0 + 3 * day + 9} North C1 1 1")]
+    lines = spark.createDataFrame(rows, "batch_id long, value string")
+    work = new_work_dir(spark, "test-retain")
+    sink = KeyedUpsertLog(spark, f"{work}/totals", R5_SCHEMA, KEYS).create()
+
+    def start(stream, ckpt):
+        return running_area_city_counts(stream, sink, ckpt, {"availableNow": True}, retain="1 day")
+
+    replay(spark, lines, 3, f"{work}/feed", start)
+    got = {r.day: r.clicks for r in sink.current().collect()}
+    assert got == {"2024-01-01": 1, "2024-01-02": 1, "2024-01-04": 2}
