@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import oracle as P
@@ -261,13 +261,19 @@ def table_overwrite(spark, d):
 
 @register
 def kv_upsert(spark, d):
-    """R5 totals through each arrival batch, upserted batch by batch; the
-    current value of every key must be its final total."""
-    sink = KeyedUpsertLog(spark, f"{new_work_dir(spark, 'kv')}/r5", R5_SCHEMA,
-                          ["day", "area", "city", "ad_id"]).create()
-    acc = _accepted(spark, d)
+    """R5 running totals upserted batch by batch, as a stream's sink sees them.
+
+    The totals of every key changed in batch b, through batch b, come from one
+    window over per-batch counts and are stored once; each upsert then reads
+    its batch's rows. The current value of every key must be its final total.
+    """
+    work = new_work_dir(spark, "kv")
+    keys = ["day", "area", "city", "ad_id"]
+    per_batch = _accepted(spark, d).groupBy("batch_id", *keys).agg(F.count(F.lit(1)).alias("n"))
+    running = F.sum("n").over(Window.partitionBy(*keys).orderBy("batch_id"))
+    per_batch.select("batch_id", *keys, running.cast("long").alias("clicks")).write.parquet(f"{work}/changes")
+    changes = spark.read.parquet(f"{work}/changes")
+    sink = KeyedUpsertLog(spark, f"{work}/r5", R5_SCHEMA, keys).create()
     for b in range(P.N_BATCHES):
-        upto = ads.area_city_counts(acc.filter(F.col("batch_id") <= b))
-        changed = acc.filter(F.col("batch_id") == b).select("day", "area", "city", "ad_id").distinct()
-        sink.upsert(upto.join(changed, ["day", "area", "city", "ad_id"], "left_semi"), b)
+        sink.upsert(changes.filter(F.col("batch_id") == b), b)
     return sink.current(P.N_BATCHES - 1)
