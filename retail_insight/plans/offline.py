@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import category
 from ..operators.visits import filter_visits
@@ -46,7 +47,7 @@ def run_offline(spark: SparkSession, visits: DataFrame, users: DataFrame, f: Vis
         top = category.top_categories(
             category.category_counts_wide(category.category_actions(needed)), task_id)
         write(top, top_categories_table)
-        top_written = read(top_categories_table).filter(f"task_id = '{task_id}'")
+        top_written = read(top_categories_table).filter(F.col("task_id") == task_id)
         sessions = category.top_sessions(category.category_session_clicks(needed, top_written), task_id)
         write(sessions, top_sessions_table)
     finally:
