@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import shared_root
+from ..session import durable_root
 from ..streaming.pipeline import PipelineConfig, RealtimePipeline
 from ..streaming.source import kafka_lines, text_lines
 
@@ -17,10 +17,11 @@ def start_realtime(spark: SparkSession, *, bootstrap_servers: str | None = None,
     """Start the pipeline on Kafka (``bootstrap_servers``) or a text folder.
 
     Tables and the checkpoint live under the cluster's shared folder
-    (``spark.checkpoint.dir``) and keep their names across restarts, so a
-    restarted job resumes from its checkpoint.
+    (``spark.checkpoint.dir`` itself, not the per-application subfolder) and
+    keep their names across restarts, so a restarted job, which is a new
+    application, resumes from its checkpoint.
     """
-    root = f"{shared_root(spark)}/retail_insight/{name}"
+    root = f"{durable_root(spark)}/retail_insight/{name}"
     pipe = RealtimePipeline(spark, f"{root}/tables", config)
     if not _exists(spark, f"{root}/tables/blacklist/delta"):
         pipe.create()

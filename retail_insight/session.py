@@ -36,18 +36,32 @@ def build_session(master: str | None = None, app_name: str = "retail-insight",
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder, as named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a private folder
-    created and registered as the checkpoint directory.
+    Only when the session names none and runs in local mode (tests) is a
+    private folder created and registered as the checkpoint directory; on a
+    cluster a missing setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if root is None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if configured is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="retail-insight-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
+def durable_root(spark: SparkSession) -> str:
+    """The configured shared folder itself, stable across applications.
+
+    ``shared_root`` is the per-application subfolder Spark creates under
+    ``spark.checkpoint.dir``; a job that must find its checkpoint again
+    after a restart (a new application) roots its folders here instead.
+    """
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return configured.rstrip("/") if configured else shared_root(spark)
+
+
 def new_work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared root."""
     return f"{shared_root(spark)}/retail_insight/{name}-{uuid.uuid4().hex[:12]}"
