@@ -13,12 +13,14 @@ DEFAULT_GROUP = "commerce-consumer-group"
 def kafka_lines(spark: SparkSession, bootstrap_servers: str, topic: str = DEFAULT_TOPIC,
                 starting_offsets: str = "latest", **options: str) -> DataFrame:
     """Lines from Kafka. Offsets are tracked in the query checkpoint, not by
-    consumer auto-commit, so a restart resumes exactly after the last batch.
-    Needs the spark-sql-kafka package on the classpath."""
+    consumer auto-commit, so a restart resumes exactly after the last batch;
+    Spark names its consumer groups after the original group id. Needs the
+    spark-sql-kafka package on the classpath."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", topic)
-              .option("startingOffsets", starting_offsets))
+              .option("startingOffsets", starting_offsets)
+              .option("groupIdPrefix", DEFAULT_GROUP))
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.load().select(F.col("value").cast("string").alias("value"))
