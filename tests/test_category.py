@@ -93,3 +93,15 @@ def test_top_sessions_exactly_ten_by_id(make_visits):
     assert len(got) == 10
     assert got and sorted((-r.click_count, r.session_id) for r in got)[0] == (-2, "s10")
     assert {r.session_id for r in got} == {"s10"} | {f"s{i:02d}" for i in range(9)}
+
+
+def test_params_from_properties_with_bare_keys_and_continuations():
+    text = ('# job parameters\n'
+            'condition.params.json={startDate:"2018-11-01", \\\n'
+            '  endDate:"2019-12-28", \\\n'
+            '  startAge: "20", \\\n'
+            '  endAge: "", \\\n'
+            '  city: ""}\n'
+            'other.key=1\n')
+    f = VisitFilter.from_properties(text)
+    assert f.bounds() == [("date", ">=", "2018-11-01"), ("date", "<=", "2019-12-28"), ("age", ">=", 20)]
