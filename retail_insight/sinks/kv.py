@@ -29,8 +29,8 @@ class KeyedUpsertLog(BatchLog):
         latest = F.max_by(F.struct(*self.values), "batch_id").alias("_v")
         return rows.groupBy(*self.keys).agg(latest).select(*self.keys, "_v.*")
 
-    def upsert(self, updates: DataFrame, batch_id: int) -> None:
-        self.write(updates, batch_id)
+    def upsert(self, updates: DataFrame, batch_id: int, min_day: str | None = None) -> None:
+        self.write(updates, batch_id, min_day)
 
     def current(self, upto: int | None = None) -> DataFrame:
         """Current values as of batch ``upto`` (bounded read), or of the whole log."""

@@ -21,6 +21,7 @@ exactly-once results.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -57,6 +58,11 @@ class PipelineConfig:
     top: int = ads.TOP_ADS
     tz: str = "UTC"
     snapshot_every: int = 25
+    # None keeps every day's counters forever, as the reference does. With
+    # N, an event whose day is more than N days before the newest day the
+    # stream has seen is expired (not counted), and snapshots drop those
+    # days, which no later event can update: state stays bounded.
+    retain_days: int | None = None
 
 
 class RealtimePipeline:
@@ -73,13 +79,16 @@ class RealtimePipeline:
         self.r5 = KeyedUpsertLog(spark, f"{root}/area_city_ad_totals", R5_SCHEMA,
                                  ["day", "area", "city", "ad_id"], every)
         self.r6 = KeyedUpsertLog(spark, f"{root}/area_top3_ads", R6_SCHEMA, ["day", "area"], every)
+        # newest event day seen so far (epoch day), kept only with retention
+        self.clock = BatchTotals(spark, f"{root}/clock", StructType([StructField("k", _S)]),
+                                 "newest_day", "max", every)
         self.parsed_root = f"{root}/parsed"
         self._parsed_schema = StructType([*schemas.AD_LOG.fields, StructField("value", _S),
                                           StructField("is_valid", BooleanType()),
                                           StructField("blocked", BooleanType())])
 
     def create(self) -> "RealtimePipeline":
-        for t in (self.user_clicks, self.listed, self.area_clicks, self.r5, self.r6):
+        for t in (self.user_clicks, self.listed, self.area_clicks, self.r5, self.r6, self.clock):
             t.create()
         self.spark.createDataFrame([], self._parsed_schema).write.mode("overwrite").parquet(
             f"{self.parsed_root}/batch_id=-1")
@@ -100,20 +109,34 @@ class RealtimePipeline:
         flagged.write.mode("overwrite").parquet(f"{self.parsed_root}/batch_id={n}")
         landed = self.spark.read.schema(self._parsed_schema).parquet(f"{self.parsed_root}/batch_id={n}")
         ok = landed.filter(F.col("is_valid") & ~F.col("blocked")).drop("is_valid", "blocked", "value")
+        min_day = None
+        if self.cfg.retain_days is not None:
+            min_day = self._advance_clock(ok, n)
+            ok = ok.filter(F.col("day") >= min_day)
         # The user counters and the area counters only share the landed
         # batch: their jobs are submitted side by side.
-        _together(lambda: self._blacklist_step(ok, n), lambda: self._area_step(ok, n))
-
-    def _blacklist_step(self, ok: DataFrame, n: int) -> None:
+        _together(lambda: self._blacklist_step(ok, n, min_day), lambda: self._area_step(ok, n, min_day))
+
+    def _advance_clock(self, ok: DataFrame, n: int) -> str:
+        """Record the batch's newest day; return the oldest day still counted."""
+        newest = ok.agg(F.max(F.unix_date(F.to_date("day"))).alias("newest_day"))
+        self.clock.write_delta(newest.filter(F.col("newest_day").isNotNull())
+                               .select(F.lit("k").alias("k"), "newest_day"), n)
+        row = self.clock.totals(n).first()
+        if row is None:                      # nothing valid seen yet
+            return "0000-01-01"
+        return (dt.date(1970, 1, 1) + dt.timedelta(days=row.newest_day - self.cfg.retain_days)).isoformat()
+
+    def _blacklist_step(self, ok: DataFrame, n: int, min_day: str | None = None) -> None:
         delta = ads.user_day_clicks(ok)
-        self.user_clicks.write_delta(delta, n)
+        self.user_clicks.write_delta(delta, n, min_day)
         touched = self.user_clicks.totals(n, only=self._delta_keys(self.user_clicks, n))
         crossing = (touched.filter(F.col("clicks") >= self.cfg.threshold)
                     .select("user_id").distinct().withColumn("listed_batch", F.lit(n).cast("long")))
         self.listed.write_delta(crossing, n)
 
-    def _area_step(self, ok: DataFrame, n: int) -> None:
-        self.area_clicks.write_delta(ads.area_city_counts(ok), n)
+    def _area_step(self, ok: DataFrame, n: int, min_day: str | None = None) -> None:
+        self.area_clicks.write_delta(ads.area_city_counts(ok), n, min_day)
         keys = self._delta_keys(self.area_clicks, n)
         # Totals of every key in the touched (day, area) groups: R6 ranks
         # them, R5 upserts the touched subset. Each sink re-reads the bounded
@@ -122,7 +145,7 @@ class RealtimePipeline:
         in_groups = self.area_clicks.totals(n, only=groups, on=["day", "area"])
         r5 = in_groups.join(keys, list(AREA_KEY.fieldNames()), "left_semi")
         r6 = ads.top_ads_json(ads.top_ads(ads.area_counts(in_groups), self.cfg.top))
-        _together(lambda: self.r5.upsert(r5, n), lambda: self.r6.upsert(r6, n))
+        _together(lambda: self.r5.upsert(r5, n, min_day), lambda: self.r6.upsert(r6, n, min_day))
 
     @staticmethod
     def _delta_keys(totals: BatchTotals, n: int) -> DataFrame:

@@ -80,12 +80,20 @@ class BatchLog:
         return self.fold(rows)
 
     # -- writes -------------------------------------------------------------
-    def write(self, delta: DataFrame, batch_id: int) -> None:
+    def write(self, delta: DataFrame, batch_id: int, min_day: str | None = None) -> None:
+        """Write batch N's change; on snapshot batches also the folded state.
+
+        ``min_day`` drops days before it from the snapshot (retention): the
+        caller guarantees no later batch updates those days again.
+        """
         delta.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(
             self._path("delta", batch_id))
         if batch_id > 0 and batch_id % self.every == 0:
             rows = self._combined(batch_id, self._snapshot_before(batch_id - 1))
-            self.fold(rows).write.mode("overwrite").parquet(self._path("snapshot", batch_id))
+            snapshot = self.fold(rows)
+            if min_day is not None:
+                snapshot = snapshot.filter(F.col("day") >= min_day)
+            snapshot.write.mode("overwrite").parquet(self._path("snapshot", batch_id))
 
 
 class BatchTotals(BatchLog):
@@ -106,5 +114,5 @@ class BatchTotals(BatchLog):
     def totals(self, upto: int, only: DataFrame | None = None, on: Sequence[str] | None = None) -> DataFrame:
         return self.state(upto, only, on)
 
-    def write_delta(self, delta: DataFrame, batch_id: int) -> None:
-        self.write(delta.withColumn(self.value, F.col(self.value).cast("long")), batch_id)
+    def write_delta(self, delta: DataFrame, batch_id: int, min_day: str | None = None) -> None:
+        self.write(delta.withColumn(self.value, F.col(self.value).cast("long")), batch_id, min_day)

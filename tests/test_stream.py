@@ -140,3 +140,28 @@ def test_running_totals_with_retention_drop_only_too_late_events(spark):
     replay(spark, lines, 3, f"{work}/feed", start)
     got = {r.day: r.clicks for r in sink.current().collect()}
     assert got == {"2024-01-01": 1, "2024-01-02": 1, "2024-01-04": 2}
+
+
+def test_retain_days_expires_old_days_consistently(spark):
+    day = 86_400_000
+    rows = [(b, f"{T0 + b * day + i} North C1 {i % 3} 1") for b in range(5) for i in range(3)]
+    rows += [(4, f"{T0 + 5} North C1 9 1"),              # day 1 on day 5: expired, never counted
+             (4, f"{T0 + 3 * day + 7} North C1 9 1"),    # day 4 on day 5: within the window
+             (3, f"{T0 + 8} North C1 9 1")]              # day 1 on day 4: expired as well
+    lines = spark.createDataFrame(rows, "batch_id long, value string")
+
+    def run(retain):
+        work = new_work_dir(spark, "test-retain-days")
+        pipe = RealtimePipeline(spark, f"{work}/tables",
+                                PipelineConfig(threshold=100, snapshot_every=2, retain_days=retain)).create()
+        for b in range(5):
+            pipe.process(lines.filter(F.col("batch_id") == b).select("value"), b)
+        return pipe
+
+    kept = run(None)
+    assert {r.day: r.clicks for r in kept.area_totals(4).collect()}["2024-01-01"] == 5
+    bounded = run(1)
+    assert sorted({r.day for r in bounded.area_clicks.read("snapshot", [4]).collect()}) == ["2024-01-04", "2024-01-05"]
+    assert {r.day: r.clicks for r in bounded.area_totals(4).collect()} == {"2024-01-04": 4, "2024-01-05": 3}
+    # an expired event is never counted, in snapshot batches or not
+    assert bounded.area_clicks.read("delta", [3, 4]).filter(F.col("day") == "2024-01-01").count() == 0
