@@ -63,6 +63,10 @@ class PipelineConfig:
     # stream has seen is expired (not counted), and snapshots drop those
     # days, which no later event can update: state stays bounded.
     retain_days: int | None = None
+    # Empty snapshot and delta partitions that no read can need any more
+    # (see ``BatchLog.retire``): storage then stays about two snapshots
+    # plus 2C deltas per table instead of growing with every snapshot.
+    retire_old_partitions: bool = False
 
 
 class RealtimePipeline:
@@ -88,7 +92,7 @@ class RealtimePipeline:
                                           StructField("blocked", BooleanType())])
 
     def create(self) -> "RealtimePipeline":
-        for t in (self.user_clicks, self.listed, self.area_clicks, self.r5, self.r6, self.clock):
+        for t in self._logs():
             t.create()
         self.spark.createDataFrame([], self._parsed_schema).write.mode("overwrite").parquet(
             f"{self.parsed_root}/batch_id=-1")
@@ -116,6 +120,12 @@ class RealtimePipeline:
         # The user counters and the area counters only share the landed
         # batch: their jobs are submitted side by side.
         _together(lambda: self._blacklist_step(ok, n, min_day), lambda: self._area_step(ok, n, min_day))
+        if self.cfg.retire_old_partitions and n > 0:
+            for t in self._logs():
+                t.retire(n - 1)   # batch n - 1 is committed: n is running
+
+    def _logs(self):
+        return (self.user_clicks, self.listed, self.area_clicks, self.r5, self.r6, self.clock)
 
     def _advance_clock(self, ok: DataFrame, n: int) -> str:
         """Record the batch's newest day; return the oldest day still counted."""

@@ -96,6 +96,27 @@ class BatchLog:
             snapshot.write.mode("overwrite").parquet(self._path("snapshot", batch_id))
 
 
+    def retire(self, committed: int) -> None:
+        """Empty the partitions no read can need once batch ``committed`` is
+        committed: the snapshot before the newest one and the deltas that
+        the newest snapshot S covers (only batch ``committed + 1`` may still
+        be replayed, and it reads snapshot S and later deltas).
+
+        Acts once per snapshot period, when ``committed`` is the snapshot
+        batch itself, through Spark's overwrite of each partition path. After
+        retiring, read state with ``state(upto)``, not ``read_all``.
+        """
+        s = self._snapshot_before(committed)
+        if s <= 0 or committed != s:
+            return
+        empty = self.spark.createDataFrame([], self.schema)
+        if s - self.every > 0:
+            empty.write.mode("overwrite").parquet(self._path("snapshot", s - self.every))
+        first = s - self.every + 1 if s > self.every else 0   # the first snapshot covers delta 0 too
+        for b in range(first, s + 1):
+            empty.write.mode("overwrite").parquet(self._path("delta", b))
+
+
 class BatchTotals(BatchLog):
     """Counters (sum) or first-seen markers (min) per key."""
 
