@@ -22,7 +22,8 @@ def start_realtime(spark: SparkSession, *, bootstrap_servers: str | None = None,
     application, resumes from its checkpoint.
     """
     root = f"{durable_root(spark)}/retail_insight/{name}"
-    pipe = RealtimePipeline(spark, f"{root}/tables", config)
+    # A long-running job keeps storage bounded unless told otherwise.
+    pipe = RealtimePipeline(spark, f"{root}/tables", config or PipelineConfig(retire_old_partitions=True))
     if not _exists(spark, f"{root}/tables/blacklist/delta"):
         pipe.create()
     lines = kafka_lines(spark, bootstrap_servers) if bootstrap_servers else text_lines(spark, folder)
