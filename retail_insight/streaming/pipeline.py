@@ -17,6 +17,11 @@ Every table is partitioned by batch id and written with overwrite of that
 partition only, so re-running batch N after a failure rewrites the same
 files: the sinks are idempotent and the stream checkpoint gives
 exactly-once results.
+
+Two opt-in settings bound a stream that runs for months:
+``retain_days`` expires events older than the newest day seen minus N days
+and drops those days from snapshots; ``retire_old_partitions`` empties the
+snapshot and delta partitions no read can need any more.
 """
 
 from __future__ import annotations
