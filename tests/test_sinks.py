@@ -17,3 +17,30 @@ def test_overwrite_table_replaces_and_partitions(spark):
     overwrite_table(df.filter("n = 2"), path=path, partition_by=["date"])
     back = spark.read.schema("n long, date string").parquet(path)  # fixed schema, as read_table does
     assert [(r.date, r.n) for r in back.collect()] == [("2019-01-02", 2)]
+
+
+def test_write_with_one_client_per_partition(spark, tmp_path):
+    from retail_insight.sinks.kv import write_with
+
+    class FileClient:
+        """Stand-in for a key-value client: appends 'key=value' lines to its own file.
+        Defined here so it ships to the Python workers by value."""
+
+        def __init__(self, folder):
+            import os
+            import uuid
+            self.f = open(os.path.join(folder, uuid.uuid4().hex), "w")
+
+        def hset(self, key, value):
+            self.f.write(f"{key}={value}\n")
+
+        def close(self):
+            self.f.close()
+
+    folder = str(tmp_path)
+    df = spark.createDataFrame([(f"k{i}", i) for i in range(100)], "key string, n long").repartition(4)
+    write_with(df, lambda: FileClient(folder), lambda c, row: c.hset(row.key, row.n))
+    files = list(tmp_path.iterdir())
+    lines = sorted(line for p in files for line in p.read_text().splitlines())
+    assert len(files) == 4
+    assert lines == sorted(f"k{i}={i}" for i in range(100))
