@@ -233,7 +233,7 @@ def test_best_fit_closes_the_fullest():
     bins = packing.BestFit(10, 2)
     assert [bins.put(s) for s in (6, 7)] == [(0, 0), (1, 0)]
     assert bins.put(9) == (2, 0)            # bin 1 (3 free) closes
-    assert bins.put(3) == (0, 6) and bins.put(1) == (2, 9) and bins.put(10) == (3, 0)
+    assert bins.put(3) == (0, 6) and bins.put(1) == (0, 9) and bins.put(10) == (3, 0)
     assert bins.open == 1
 
 
