@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ngram_join, packing, quality, secrets, sharding
+from . import decontaminate, ngram_join, packing, pii, quality, secrets, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,10 +33,14 @@ def op8_best_fit_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op9_surrogates(spark, sf_dir):
+    return pii.find_and_replace(_table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_components(spark, sf_dir):
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_repetition_coverage, op2_secret_scan, op4_minimax_shards, op5_benchmark_hits, op8_best_fit_packing,
-    op10_ngram_components)}
+    op9_surrogates, op10_ngram_components)}
