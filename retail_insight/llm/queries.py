@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ngram_join, packing, pii, quality, secrets, sharding
+from . import decontaminate, ngram_join, packing, paragraph_dedup, pii, quality, quality_mil, secrets, sharding, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_secret_scan(spark, sf_dir):
     return secrets.scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op3_paragraph_dedup(spark, sf_dir):
+    return paragraph_dedup.remove_paragraphs(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op4_minimax_shards(spark, sf_dir):
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,15 @@ def op5_benchmark_hits(spark, sf_dir):
     return decontaminate.scan_benchmark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_attention_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return quality_mil.score(docs, quality_mil.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op7_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_best_fit_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -42,5 +55,6 @@ def op10_ngram_components(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_repetition_coverage, op2_secret_scan, op4_minimax_shards, op5_benchmark_hits, op8_best_fit_packing,
+    op1_repetition_coverage, op2_secret_scan, op3_paragraph_dedup, op4_minimax_shards, op5_benchmark_hits,
+    op6_attention_quality, op7_substring_dedup, op8_best_fit_packing,
     op9_surrogates, op10_ngram_components)}
