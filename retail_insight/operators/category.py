@@ -63,13 +63,11 @@ def top_categories(wide: DataFrame, task_id: str, k: int = TOP_CATEGORIES) -> Da
 def category_session_clicks(visits: DataFrame, top: DataFrame) -> DataFrame:
     """Clicks per (category, session), for real clicks in the top categories.
 
-    ``top`` comes out of a ``limit``, so it has at most k rows and is
-    broadcast for a map-side semi join ahead of the aggregation.
+    ``top`` is small as a rule; the planner picks the semi join from its size.
     """
     clicks = visits.filter(is_click()).select(
         F.col("click_category_id").cast("string").alias("category_id"), "session_id")
-    wanted = F.broadcast(top.select("category_id"))
-    return (clicks.join(wanted, "category_id", "left_semi")
+    return (clicks.join(top.select("category_id"), "category_id", "left_semi")
             .groupBy("category_id", "session_id").agg(F.count(F.lit(1)).alias("click_count")))
 
 

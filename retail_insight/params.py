@@ -58,7 +58,3 @@ class VisitFilter:
             if sep and name.strip() == key:
                 return cls.from_json(_BARE_KEY.sub(r'\1"\2":', value.strip()))
         raise KeyError(key)
-
-
-# The job parameters shipped with the reference application.
-REFERENCE_FILTER = VisitFilter("2018-11-01", "2019-12-28", 20, 50)

@@ -1,7 +1,6 @@
 """Offline job: top-10 categories (R1), then top-10 sessions in them (R2).
 
-R1 is written first and R2 reads the written top-10 back (at most 10 rows,
-broadcast for the semi join), so R2 never recomputes R1. The filtered visits
+R1 is written first and R2 reads the written top-10 back (at most 10 rows), so R2 never recomputes R1. The filtered visits
 feed both; only the four columns the two results need are kept, persisted
 with spill to disk, and rebuilt from lineage if an executor is lost.
 """
@@ -52,4 +51,5 @@ def run_offline(spark: SparkSession, visits: DataFrame, users: DataFrame, f: Vis
         write(sessions, top_sessions_table)
     finally:
         needed.unpersist()
-    return OfflineResult(task_id, read(top_categories_table), read(top_sessions_table))
+    own = F.col("task_id") == task_id     # a table may hold other runs' rows
+    return OfflineResult(task_id, read(top_categories_table).filter(own), read(top_sessions_table).filter(own))

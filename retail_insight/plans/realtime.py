@@ -7,11 +7,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..session import durable_root
 from ..streaming.pipeline import PipelineConfig, RealtimePipeline
-from ..streaming.source import kafka_lines, text_lines
+from ..streaming.source import DEFAULT_TOPIC, kafka_lines, text_lines
 
 
 def start_realtime(spark: SparkSession, *, bootstrap_servers: str | None = None,
                    folder: str | None = None, name: str = "realtime",
+                   topic: str = DEFAULT_TOPIC, starting_offsets: str = "latest",
+                   kafka_options: dict[str, str] | None = None,
                    config: PipelineConfig | None = None,
                    trigger: dict | None = None) -> tuple[RealtimePipeline, StreamingQuery]:
     """Start the pipeline on Kafka (``bootstrap_servers``) or a text folder.
@@ -24,15 +26,7 @@ def start_realtime(spark: SparkSession, *, bootstrap_servers: str | None = None,
     root = f"{durable_root(spark)}/retail_insight/{name}"
     # A long-running job keeps storage bounded unless told otherwise.
     pipe = RealtimePipeline(spark, f"{root}/tables", config or PipelineConfig(retire_old_partitions=True))
-    if not _exists(spark, f"{root}/tables/blacklist/delta"):
-        pipe.create()
-    lines = kafka_lines(spark, bootstrap_servers) if bootstrap_servers else text_lines(spark, folder)
+    pipe.create()   # writes empty first partitions only: safe to repeat, also after a crash half way
+    lines = (kafka_lines(spark, bootstrap_servers, topic, starting_offsets, **(kafka_options or {}))
+             if bootstrap_servers else text_lines(spark, folder))
     return pipe, pipe.start(lines, f"{root}/checkpoint", trigger)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # AnalysisException: path does not exist
-        return False

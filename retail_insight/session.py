@@ -59,6 +59,8 @@ def durable_root(spark: SparkSession) -> str:
     after a restart (a new application) roots its folders here instead.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if configured is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir: a folder set at run time alone is lost at a restart")
     return configured.rstrip("/") if configured else shared_root(spark)
 
 

@@ -33,8 +33,8 @@ class KeyedUpsertLog(BatchLog):
         self.write(updates, batch_id, min_day)
 
     def current(self, upto: int | None = None) -> DataFrame:
-        """Current values as of batch ``upto`` (bounded read), or of the whole log."""
-        return self.state(upto) if upto is not None else self.fold(self.read_all())
+        """Current values as of batch ``upto``, by default of the last batch written."""
+        return self.state(upto) if upto is not None else self.fold(self.read_latest())
 
 
 def write_with(updates: DataFrame, client_factory: Callable[[], object],

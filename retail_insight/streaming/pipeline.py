@@ -31,6 +31,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
@@ -51,9 +52,9 @@ R6_SCHEMA = StructType([StructField(c, _S) for c in ("day", "area", "ads_json")]
 
 def _together(*steps: Callable[[], None]) -> None:
     """Run independent Spark actions from parallel driver threads; the
-    scheduler interleaves their tasks. The first failure is raised."""
+    scheduler interleaves their tasks. They keep the caller's job group. The first failure is raised."""
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        for future in [pool.submit(step) for step in steps]:
+        for future in [pool.submit(inheritable_thread_target(step)) for step in steps]:
             future.result()
 
 

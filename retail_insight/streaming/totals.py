@@ -61,6 +61,27 @@ class BatchLog:
         """Every delta partition: for audits, not for per-batch work."""
         return self.spark.read.schema(self.read_schema).parquet(f"{self.root}/delta")
 
+    def _written(self, kind: str) -> list[int]:
+        """Batch ids whose partition is complete."""
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
+        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(folder):
+            return []
+        done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "batch_id=*/_SUCCESS"))
+        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
+
+    def read_latest(self) -> DataFrame:
+        """The newest snapshot and the deltas after it: complete also where
+        older partitions are retired."""
+        snapshots = self._written("snapshot")
+        newest = snapshots[-1] if snapshots else None
+        deltas = [b for b in self._written("delta") if newest is None or b > newest]
+        if newest is None:
+            return self.read("delta", deltas)
+        snap = self.read("snapshot", [newest])
+        return snap.unionByName(self.read("delta", deltas)) if deltas else snap
+
     # -- reads --------------------------------------------------------------
     def _snapshot_before(self, batch_id: int) -> int:
         s = (batch_id // self.every) * self.every
