@@ -21,15 +21,18 @@ from . import _text as tx
 CAPACITY = 2048
 OPEN_SEQUENCES = 512
 END = 0
-#: Words whose ids a worker remembers before it starts anew, and the longest of them.
-CACHE_WORDS = 400_000
-CACHE_WORD_CHARS = 48
+#: What a worker remembers before it starts anew: ids, and words of letters.
+CACHE_IDS = 12_000_000
+CACHE_WORDS = 300_000
+BLOCK_BYTES = 4 << 20
 _TAILS = (".", ",", "!!", "!", "?", ";", ":", "###", "***", "$$$", "%%%", "&&&", ".,", "!!,")
+_IN_WORD = ~tx.byte_set((0x20, 0x20), (0x0A, 0x0A))
 
 
 class Tokens:
     """Ids of whole texts. White space separates words for this vocabulary and
-    is dropped, so ids are found word by word and those of short words kept."""
+    is dropped, so ids are found word by word: a block's words are hashed and
+    made distinct, and only those not met before go through the tokenizer."""
 
     def __init__(self, path: str | None = None):
         from tokenizers import Tokenizer
@@ -41,31 +44,34 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
         self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.known: dict[str, bytes] = {"": b""}
+        self._forget()
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.asarray(e.ids, dtype="<u4")
+    def _forget(self):
+        self.letters: dict[str, bytes] = {"": b""}
+        self.hash = np.zeros(0, np.uint64)      # sorted; with the place of each word's ids
+        self.start = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, "<u4")
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _letters(self, words: list[str]) -> list[bytes]:
         """Ids of words of letters only, coded together: each ends in one word-end id."""
-        ids = self._ids([" ".join(words)])[0] if words else np.zeros(0, "<u4")
-        cut = np.flatnonzero(self.ends_word[ids]) + 1
+        data = self._ids([" ".join(words)])[0] if words else b""
+        cut = np.flatnonzero(self.ends_word[np.frombuffer(data, "<u4")]) + 1
         if len(cut) != len(words):
-            return [i.tobytes() for i in self._ids(words)]
-        data, at = ids.tobytes(), [0, *(4 * cut).tolist()]
+            return self._ids(words)
+        at = [0, *(4 * cut).tolist()]
         return [data[i:j] for i, j in zip(at, at[1:])]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known = self.known = {"": b""}
-        here = set().union(*split)
-        # word -> letters and trailing signs; letters are coded many at a time
-        parts: dict[str, tuple[str, str]] = {}
-        for w in here.difference(known):
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words without white space; letters are coded apart from the signs behind them."""
+        if len(self.letters) > CACHE_WORDS:
+            self.letters = {"": b""}
+        known, parts = self.letters, []
+        for w in words:
             core, tail = w, ""
             if not w.isalpha():
                 for t in _TAILS:     # letters and ASCII signs never join into one piece
@@ -76,19 +82,39 @@ class Tokens:
                 core, tail = w, ""
             elif core.isascii():
                 core = core.lower()
-            parts[w] = core, tail
-        wanted = {x for pair in parts.values() for x in pair}.difference(known)
+            parts.append((core, tail))
+        wanted = {x for pair in parts for x in pair}.difference(known)
         first = [w for w in wanted if w.isalpha() and "\u0130" not in w]
         rest = list(wanted.difference(first))
         known.update(zip(first, self._letters(first)))
-        known.update(zip(rest, (i.tobytes() for i in self._ids(rest))))
-        for w, (core, tail) in parts.items():
-            known[w] = known[core] + known[tail]
-        local = {w: known[w] for w in here}
-        for w in wanted.union(parts):
-            if len(w) > CACHE_WORD_CHARS:
-                del known[w]
-        return [b"".join(map(local.__getitem__, words)) for words in split]
+        known.update(zip(rest, self._ids(rest)))
+        return [known[core] + known[tail] for core, tail in parts]
+
+    def encode(self, block: tx.Block) -> tuple[np.ndarray, np.ndarray]:
+        """Unsigned 32-bit ids of a block's texts end to end, and where each text's begin."""
+        words = tx.spans(block.data, block.offsets, _IN_WORD)
+        hashes, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
+        if len(self.ids) > CACHE_IDS:
+            self._forget()
+        new = ~np.isin(hashes, self.hash, assume_unique=True)
+        raw = block.data.tobytes()
+        at = first[new]
+        coded = self._words([raw[i:j].decode() for i, j in zip(words.start[at].tolist(), words.end[at].tolist())])
+        length = np.array([len(c) // 4 for c in coded], np.int64)
+        start = len(self.ids) + np.cumsum(length) - length
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(coded), "<u4")])
+        merged = np.concatenate([self.hash, hashes[new]])
+        order = np.argsort(merged, kind="stable")
+        self.hash = merged[order]
+        self.start = np.concatenate([self.start, start])[order]
+        self.length = np.concatenate([self.length, length])[order]
+        entry = np.searchsorted(self.hash, hashes)[which]
+        length = self.length[entry]
+        ends = np.cumsum(length)
+        total = int(ends[-1]) if len(ends) else 0
+        out = self.ids[np.repeat(self.start[entry] - (ends - length), length) + np.arange(total)]
+        bounds = np.concatenate([[0], ends])[np.searchsorted(words.doc, np.arange(block.n + 1))]
+        return out, bounds
 
 
 _loaded: dict[str | None, Tokens] = {}
@@ -159,10 +185,11 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tok
         base = TaskContext.get().partitionId() << 36
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
-            for block in tx.blocks(batch, "text"):
+            for block in tx.blocks(batch, "text", BLOCK_BYTES):
                 row, values = [], []
-                for i, ids in enumerate(coder.encode([t or "" for t in block.column("text").to_pylist()])):
-                    ids += end
+                stream, bounds = coder.encode(block)
+                for i, (a, b) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
+                    ids = stream[a:b].tobytes() + end
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at:at + 4 * capacity]
                         row.append(i)
