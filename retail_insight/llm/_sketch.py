@@ -37,10 +37,14 @@ def frequent_cells(df: DataFrame, text: str, keys_of: Callable[[tx.Block], np.nd
             for block in tx.blocks(batch, text):
                 total += np.bincount(cells(keys_of(block), bits), minlength=1 << bits)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "count"])
 
-    found = (df.select(F.col(f"`{text}`")).mapInArrow(run, "cell long, n long")
-             .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
+    return frequent(df.select(F.col(f"`{text}`")).mapInArrow(run, "cell long, count long"), bits)
+
+
+def frequent(counts: DataFrame, bits: int = CELL_BITS) -> np.ndarray:
+    """The table from the tasks' counts (columns cell, count)."""
+    found = counts.groupBy("cell").agg(F.sum("count").alias("n")).toArrow()
     table = np.zeros(1 << bits, np.int64)
     table[found.column("cell").to_numpy()] = found.column("n").to_numpy()
     mean = table.mean()

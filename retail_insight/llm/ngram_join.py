@@ -21,10 +21,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import _text as tx
 from ._components import components
-from ._sketch import cells, frequent_cells
+from ._sketch import CELL_BITS, cells, frequent
 from ._stage import staged
 
 SHINGLE = 5
@@ -34,6 +35,8 @@ HUB_ROUNDS = 2
 TOKEN_BITS = 48
 ROWS_PER_PARTITION = 600_000
 SALTS = 64
+#: (node, id) rows of 16 bytes that may be broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def shingles(block: tx.Block, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -75,28 +78,36 @@ def prefix_size(n, percent: int):
     return n + (-percent * n // 100) + 1
 
 
-def index_size(n, percent: int):
-    """As ``prefix_size``, where the partner is known to be as large or larger."""
-    return n + (-2 * percent * n // (100 + percent)) + 1
-
-
 def similar_enough(a, b, common, percent: int):
     return 100 * common >= percent * (a + b - common)
 
 
-def _keys(source: DataFrame, size: int, id_type: str) -> DataFrame:
-    def run(block: tx.Block):
-        node, n = node_of(*shingles(block, size), block.n)
-        return tx.record_batch(id=block.column("id"), node=node, n=n.astype(np.int64))
+def _keys(source: DataFrame, size: int, id_type: str) -> tuple[DataFrame, np.ndarray]:
+    """(id, node, n) of every row, and the cells of frequent shingles, in one pass."""
+    id_arrow = to_arrow_type(source.schema["id"].dataType)
+
+    def run(batches):
+        counts = np.zeros(1 << CELL_BITS, np.int64)
+        for batch in batches:
+            for block in tx.blocks(batch, "text"):
+                doc, key = shingles(block, size)
+                counts += np.bincount(cells(key), minlength=len(counts))
+                node, n = node_of(doc, key, block.n)
+                none = pa.nulls(block.n, pa.int64())
+                yield tx.record_batch(id=block.column("id"), node=node, n=n.astype(np.int64), cell=none, count=none)
+        at = np.flatnonzero(counts)
+        none = pa.nulls(len(at), pa.int64())
+        yield tx.record_batch(id=pa.nulls(len(at), id_arrow), node=none, n=none,
+                              cell=at, count=counts[at])
 
-    return staged(tx.map_blocks(source, "text", run, f"id {id_type}, node long, n long"), "ngram-keys")
+    both = staged(source.mapInArrow(run, f"id {id_type}, node long, n long, cell long, count long"), "ngram-keys")
+    return both.filter("cell is null").select("id", "node", "n"), frequent(both.filter("cell is not null"))
 
 
 def _prefix_rows(source: DataFrame, size: int, percent: int, hot) -> DataFrame:
-    """Prefix tokens of every row under the first order: token, salt, node, n, lead.
+    """Prefix tokens of every row under the first order: token, salt, node, n.
 
-    ``lead``: the token is also among those that find larger partners. Tokens
-    of frequent cells are spread over salts, so none lands in one task.
+    Tokens of frequent cells are spread over salts, so none lands in one task.
     """
 
     def run(block: tx.Block):
@@ -108,13 +119,12 @@ def _prefix_rows(source: DataFrame, size: int, percent: int, hot) -> DataFrame:
         first = np.concatenate([[0], np.cumsum(n)[:-1]])
         rank = np.arange(len(doc)) - first[doc]
         pick = rank < prefix_size(n, percent)[doc]
-        doc, key, often, rank = doc[pick], key[pick], often[pick], rank[pick]
+        doc, key, often = doc[pick], key[pick], often[pick]
         token = (key >> np.uint64(64 - TOKEN_BITS)).astype(np.int64)
         salt = np.where(often, 1 + (node[doc] % SALTS), 0).astype(np.int32)
-        return tx.record_batch(token=token, salt=salt, node=node[doc], n=n[doc].astype(np.int32),
-                               lead=rank < index_size(n, percent)[doc])
+        return tx.record_batch(token=token, salt=salt, node=node[doc], n=n[doc].astype(np.int32))
 
-    return tx.map_blocks(source, "text", run, "token long, salt int, node long, n int, lead boolean")
+    return tx.map_blocks(source, "text", run, "token long, salt int, node long, n int")
 
 
 def _shared_tokens(rows: DataFrame, partitions: int) -> DataFrame:
@@ -198,32 +208,68 @@ def _fits(percent: int):
     return 100 * small.cast("long") >= percent * large.cast("long")
 
 
-def _links(source: DataFrame, keys: DataFrame, *, size: int, percent: int, orders: int,
+def _enough_shared(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share enough prefix tokens of the first order.
+
+    Of two prefixes one ends first in the order; all common tokens up to its
+    end lie in both, and at most the rest of that set follows. So the common
+    tokens are at most those shared plus the larger of the two rests.
+    """
+
+    def side(name: str) -> DataFrame:
+        return profiles.select(F.col("node").alias(name), F.col("n").cast("long").alias(f"n_{name}"),
+                               F.col("tokens").alias(f"t_{name}"))
+
+    both = (pairs.join(side("a"), "a").join(side("b"), "b")
+            .withColumn("most", F.size(F.array_intersect("t_a", "t_b"))))
+    return both.filter(_reaches(F.col("most"), percent)).select("a", "b")
+
+
+def _reaches(shared, percent: int):
+    """Can sets of n_a and n_b tokens that share so many prefix tokens reach the threshold?"""
+
+    def rest(n):        # tokens behind the prefix: ceil(t n) - 1
+        up = percent * n.cast("long") + 99
+        return (up - up % 100) / 100 - 1
+
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    return (100 + percent) * (shared + F.greatest(rest(n_a), rest(n_b))) >= percent * (n_a + n_b)
+
+
+def _node_texts(source: DataFrame, ids: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """(node, text) of the pairs' nodes. A small set of nodes is broadcast, which saves a shuffle of all texts."""
+    wanted = staged(ids.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"),
+                    "ngram-wanted")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+
+    def own(block: tx.Block):
+        node, _ = node_of(*shingles(block, size), block.n)
+        return block.rows.filter(pa.array(node == block.column("node").to_numpy())).select(["node", "text"])
+
+    texts = source.join(wanted, "id").select("node", "text")
+    return tx.map_blocks(texts, "text", own, "node long, text string").dropDuplicates(["node"])
+
+
+def _links(source: DataFrame, keys: DataFrame, hot, *, size: int, percent: int, orders: int,
            hub_rounds: int) -> DataFrame | None:
     """Verified links (a, b) between nodes; with them every similar pair is in one component."""
     spark = source.sparkSession
     total = keys.agg(F.sum(F.col("n") / 4 + 1)).first()[0] or 0
-    hot = spark.sparkContext.broadcast(
-        frequent_cells(source, "text", lambda block: shingles(block, size)[1]))
     rows = _prefix_rows(source, size, percent, hot)
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total) // ROWS_PER_PARTITION)
     shared = _shared_tokens(rows, partitions)
     if shared.isEmpty():
         return None
     # Hubs: the nodes whose tokens have most holders.
-    score = shared.groupBy("node").agg(F.sum("holders").alias("score"))
-    shared = staged(shared.drop("holders").join(score, "node"), "ngram-scored")
-
-    ids = keys.filter("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("id"))
-    wanted = ids.join(shared.select("node").distinct(), "node", "left_semi")
-    texts = source.join(wanted, "id")
-
-    def own(block: tx.Block):
-        node, _ = node_of(*shingles(block, size), block.n)
-        return block.rows.filter(pa.array(node == block.column("node").to_numpy())).select(["node", "text"])
-
-    nodes = staged(tx.map_blocks(texts.select("node", "text"), "text", own, "node long, text string")
-                   .dropDuplicates(["node"]), "ngram-nodes")
+    profiles = staged(shared.groupBy("node").agg(
+        F.sum("holders").alias("score"), F.max("n").alias("n"), F.array_sort(F.collect_list("token")).alias("tokens")),
+        "ngram-profiles")
+    # of a node's shared tokens, how many there are and are left from this one on
+    shared = staged(profiles.select("node", "n", "score", F.size("tokens").alias("all"), F.posexplode("tokens"))
+                    .select("node", "n", "score", "all", (F.col("all") - F.col("pos")).alias("left"),
+                            F.col("col").alias("token")), "ngram-scored")
+    ids = staged(keys.filter("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("id")), "ngram-ids")
 
     links = tried = root = None
     for turn in range(hub_rounds + 1):
@@ -238,26 +284,28 @@ def _links(source: DataFrame, keys: DataFrame, *, size: int, percent: int, order
         else:
             now = now.withColumn("root", F.col("node"))
         if turn < hub_rounds:
-            hub = now.groupBy("token").agg(F.max(F.struct("score", "node", "n", "root")).alias("h"))
+            hub = now.groupBy("token").agg(F.max(F.struct("score", "node", "n", "root", "all")).alias("h"))
             if turn:    # the best of the components other than the best hub's
                 hub = (now.join(hub, "token").filter("root <> h.root").groupBy("token")
-                       .agg(F.max(F.struct("score", "node", "n", "root")).alias("h")))
+                       .agg(F.max(F.struct("score", "node", "n", "root", "all")).alias("h")))
             pairs = (now.join(hub, "token").filter("root <> h.root")
                      .select(F.col("node").alias("x"), F.col("n").alias("n_a"),
-                             F.col("h.node").alias("y"), F.col("h.n").alias("n_b")))
+                             F.col("h.node").alias("y"), F.col("h.n").alias("n_b"),
+                             F.least("all", "h.all").alias("most")))
         else:
             one = now.select("token", F.col("node").alias("x"), F.col("n").alias("n_a"),
-                             F.col("root").alias("root_a"), F.col("lead").alias("lead_a"))
+                             F.col("root").alias("root_a"), F.col("left").alias("left_a"))
             two = now.select("token", F.col("node").alias("y"), F.col("n").alias("n_b"),
-                             F.col("root").alias("root_b"), F.col("lead").alias("lead_b"))
-            # the smaller set's token must be among its leading ones
+                             F.col("root").alias("root_b"), F.col("left").alias("left_b"))
+            # a pair shares no more tokens than either has left from its first shared one
             pairs = (one.join(two, "token").filter("x < y and root_a <> root_b")
-                     .filter("(n_a <= n_b and lead_a) or (n_b <= n_a and lead_b)"))
-        pairs = (pairs.filter(_fits(percent))
+                     .withColumn("most", F.least("left_a", "left_b")))
+        pairs = (pairs.filter(_fits(percent) & _reaches(F.col("most"), percent))
                  .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "ngram-pairs")
+        pairs = staged(_enough_shared(pairs, profiles, percent), "ngram-pairs")
+        nodes = staged(_node_texts(source, ids, pairs, size), "ngram-nodes")
         found = staged(_verified(pairs, nodes, size, percent, orders), "ngram-links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
@@ -278,9 +326,10 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     empty table gives no rows. Other columns are not read.
     """
     source = tx.pick(docs, id=id_col, text=text_col)
-    keys = _keys(source, size, source.schema["id"].dataType.simpleString())
+    keys, often = _keys(source, size, source.schema["id"].dataType.simpleString())
+    hot = source.sparkSession.sparkContext.broadcast(often)
     members = keys.filter("n > 0 and id is not null")
-    links = _links(source, keys, size=size, percent=percent, orders=orders, hub_rounds=hub_rounds)
+    links = _links(source, keys, hot, size=size, percent=percent, orders=orders, hub_rounds=hub_rounds)
     # rows that share an id hold their sets together
     spread = members.groupBy("id").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most")
     same_id = (members.join(spread, "id").filter("node <> least")

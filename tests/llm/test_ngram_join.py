@@ -78,7 +78,7 @@ def test_frequent_tokens_are_salted(spark, monkeypatch):
     import numpy as np
 
     rows = cases()
-    monkeypatch.setattr(ngram_join, "frequent_cells", lambda *a: np.arange(1 << 17) % 2 == 0)
+    monkeypatch.setattr(ngram_join, "frequent", lambda *a: np.arange(1 << 17) % 2 == 0)
     assert rows_of(ngram_join.jaccard_components(docs_frame(spark, rows))) == brute(rows)
 
 
