@@ -31,7 +31,7 @@ from ._stage import staged
 SHINGLE = 5
 PERCENT = 75
 ORDERS = 3
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 TOKEN_BITS = 48
 ROWS_PER_PARTITION = 600_000
 SALTS = 64
@@ -105,9 +105,10 @@ def _keys(source: DataFrame, size: int, id_type: str) -> tuple[DataFrame, np.nda
 
 
 def _prefix_rows(source: DataFrame, size: int, percent: int, hot) -> DataFrame:
-    """Prefix tokens of every row under the first order: token, salt, node, n.
+    """Prefix tokens of every row under the first order: key, node.
 
-    Tokens of frequent cells are spread over salts, so none lands in one task.
+    A key is a token's TOKEN_BITS and above them a salt: tokens of frequent
+    cells are spread over salts, so none lands in one task.
     """
 
     def run(block: tx.Block):
@@ -121,10 +122,10 @@ def _prefix_rows(source: DataFrame, size: int, percent: int, hot) -> DataFrame:
         pick = rank < prefix_size(n, percent)[doc]
         doc, key, often = doc[pick], key[pick], often[pick]
         token = (key >> np.uint64(64 - TOKEN_BITS)).astype(np.int64)
-        salt = np.where(often, 1 + (node[doc] % SALTS), 0).astype(np.int32)
-        return tx.record_batch(token=token, salt=salt, node=node[doc], n=n[doc].astype(np.int32))
+        salt = np.where(often, 1 + (node[doc] % SALTS), 0)
+        return tx.record_batch(key=(salt << TOKEN_BITS) + token, node=node[doc])
 
-    return tx.map_blocks(source, "text", run, "token long, salt int, node long, n int")
+    return tx.map_blocks(source, "text", run, "key long, node long")
 
 
 def _shared_tokens(rows: DataFrame, partitions: int) -> DataFrame:
@@ -136,21 +137,21 @@ def _shared_tokens(rows: DataFrame, partitions: int) -> DataFrame:
         if not got:
             return
         table = pa.concat_tables(got)
-        token, salt, node = (table.column(c).to_numpy() for c in ("token", "salt", "node"))
-        order = np.lexsort((node, salt, token))
-        t, s, v = token[order], salt[order], node[order]
-        same_group = (t[1:] == t[:-1]) & (s[1:] == s[:-1])
-        new = np.ones(len(t), bool)
-        new[1:] = ~(same_group & (v[1:] == v[:-1]))
-        order, t, s = order[new], t[new], s[new]
-        same_group = (t[1:] == t[:-1]) & (s[1:] == s[:-1])
-        keep = s > 0
-        keep[1:] |= same_group
-        keep[:-1] |= same_group
-        yield from table.take(pa.array(order[keep])).to_batches(max_chunksize=50_000)
-
-    spread = rows.repartition(partitions, "token", "salt")
-    found = staged(spread.mapInArrow(run, rows.schema).drop("salt"), "ngram-tokens")
+        key, node = (table.column(c).to_numpy() for c in ("key", "node"))
+        order = np.lexsort((node, key))
+        k, v = key[order], node[order]
+        new = np.ones(len(k), bool)
+        new[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])
+        k, v = k[new], v[new]
+        same_key = k[1:] == k[:-1]
+        keep = k >> TOKEN_BITS > 0
+        keep[1:] |= same_key
+        keep[:-1] |= same_key
+        found = tx.record_batch(token=k[keep] & ((1 << TOKEN_BITS) - 1), node=v[keep])
+        yield from pa.Table.from_batches([found]).to_batches(max_chunksize=50_000)
+
+    spread = rows.repartition(partitions, "key")
+    found = staged(spread.mapInArrow(run, "token long, node long"), "ngram-tokens")
     several = found.groupBy("token").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
     return staged(found.join(several, "token"), "ngram-shared")
 
@@ -238,7 +239,7 @@ def _reaches(shared, percent: int):
 
 def _node_texts(source: DataFrame, ids: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     """(node, text) of the pairs' nodes. A small set of nodes is broadcast, which saves a shuffle of all texts."""
-    wanted = staged(ids.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"),
+    wanted = staged(ids.select("node", "id").join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"),
                     "ngram-wanted")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
@@ -262,14 +263,15 @@ def _links(source: DataFrame, keys: DataFrame, hot, *, size: int, percent: int,
     if shared.isEmpty():
         return None
     # Hubs: the nodes whose tokens have most holders.
-    profiles = staged(shared.groupBy("node").agg(
-        F.sum("holders").alias("score"), F.max("n").alias("n"), F.array_sort(F.collect_list("token")).alias("tokens")),
-        "ngram-profiles")
+    ids = staged(keys.filter("n > 0 and id is not null").groupBy("node")
+                 .agg(F.min("id").alias("id"), F.max("n").cast("int").alias("n")), "ngram-ids")
+    tokens = shared.groupBy("node").agg(
+        F.sum("holders").alias("score"), F.array_sort(F.collect_list("token")).alias("tokens"))
+    profiles = staged(tokens.join(ids.select("node", "n"), "node"), "ngram-profiles")
     # of a node's shared tokens, how many there are and are left from this one on
     shared = staged(profiles.select("node", "n", "score", F.size("tokens").alias("all"), F.posexplode("tokens"))
                     .select("node", "n", "score", "all", (F.col("all") - F.col("pos")).alias("left"),
                             F.col("col").alias("token")), "ngram-scored")
-    ids = staged(keys.filter("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("id")), "ngram-ids")
 
     links = tried = root = None
     for turn in range(hub_rounds + 1):
@@ -308,7 +310,9 @@ def _links(source: DataFrame, keys: DataFrame, hot, *, size: int, percent: int,
         nodes = staged(_node_texts(source, ids, pairs, size), "ngram-nodes")
         found = staged(_verified(pairs, nodes, size, percent, orders), "ngram-links")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
+        # stars of the components found so far stand for the links they came from
+        links = found if root is None else found.unionByName(
+            root.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
         if turn < hub_rounds:
             root = components(links, "ngram-components")
     return links
