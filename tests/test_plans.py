@@ -66,6 +66,8 @@ def test_r4_partial_aggregates_and_window_limit(canonical):
     assert p.count("partial_count") >= 1 and "partial_collect_list" in p
     assert "WindowGroupLimit" in p and "Partial" in p
     assert "PushedFilters: [IsNotNull(click_product_id), GreaterThan(click_product_id,0)" in p
+    # the remark is collected after the ranked products are known
+    assert p.index("LeftSemi") < p.index("partial_collect_list")
 
 
 @pytest.mark.parametrize("key", sorted(set(entry_mod.queries()) - STREAMS))
