@@ -135,13 +135,14 @@ def _roots(source: DataFrame, paragraphs: DataFrame, percent: int) -> DataFrame:
                                                   F.min("bands").alias("bands")), "paragraph-nodes")
     where = nodes.select("node", "at.id", "at.t", "at.lo", "at.hi")
     band = nodes.select("node", "n", F.explode("bands").alias("band"))
-    hubs = (band.groupBy("band").agg(F.min(F.struct("node", "n")).alias("h"), F.count(F.lit(1)).alias("c"))
-            .filter("c > 1").drop("c"))
-    band = staged(band.join(hubs, "band"), "paragraph-bands")      # only groups of several nodes
+    # Plain longs keep this a hash aggregate; one row a band is left, so the hashed side is even.
+    hubs = (band.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
+            .filter("hub <> last").drop("last"))
+    band = staged(band.join(hubs.hint("shuffle_hash"), "band"), "paragraph-bands")      # only groups of several nodes
     fits = 100 * F.least("n_a", "n_b").cast("long") >= percent * F.greatest("n_a", "n_b").cast("long")
     ends = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    stars = (band.select(F.col("node").alias("x"), F.col("n").alias("n_a"), F.col("h.node").alias("y"),
-                         F.col("h.n").alias("n_b")).filter("x <> y").filter(fits).select(*ends).distinct())
+    stars = (band.filter("node <> hub").select(F.col("node").alias("x"), F.col("n").alias("n_a"), F.col("hub").alias("y")).distinct()
+             .join(nodes.select(F.col("node").alias("y"), F.col("n").alias("n_b")), "y").filter(fits).select(*ends).distinct())
     stars = staged(stars, "paragraph-stars")
     links = staged(_verified(stars, _texts(source, where, stars), percent), "paragraph-links")
     root = components(links, "paragraph-components")
