@@ -1,6 +1,7 @@
 """Paragraph dedup by MinHash banding.
 
-Paragraphs are lines of some length. Equal shingle sets are one node;
+Paragraphs are lines of some length and, if asked for, runs of shorter lines;
+single shorter lines are then compared too, by equality. Equal shingle sets are one node;
 MinHash bands, tuned so that a pair at the threshold is missed about once in two
 thousand, bring similar nodes together, every colliding pair that matters
 is compared exactly, and of each connected component only the first paragraph
@@ -22,6 +23,10 @@ from ._stage import staged
 MIN_WORDS = 20
 SHINGLE = 5
 PERCENT = 75
+#: Registered query: lines from SHORT_WORDS words are compared, runs of short lines are cut above RUN_WORDS.
+SHORT_WORDS, RUN_WORDS = 5, 100
+#: In a long run a paragraph ends after one word in so many, chosen by the word and the one before it.
+CUT_EVERY = 32
 BANDS, ROWS = 20, 4      # a pair at 0.75 meets with probability 1 - (1 - 0.75**4)**20 = 0.9995
 #: (id, spans) rows that may be broadcast to fetch texts.
 BROADCAST_ROWS = 50_000
@@ -29,16 +34,32 @@ _SEEDS = tx.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E
 
 
 class Paragraphs:
-    """Lines of a block with at least ``min_words`` words, and their shingle sets."""
+    """Paragraphs of a block, and their shingle sets.
 
-    def __init__(self, block: tx.Block, min_words: int):
+    These are lines with at least ``min_words`` words. With ``run_words`` also runs of
+    consecutive shorter lines, up to a blank or a long line, that have ``min_words`` words
+    together; a run of more than ``run_words`` words is cut after words chosen by content,
+    so that neither the line width nor what stands before a passage moves the cuts.
+    ``whole``: each text is one paragraph.
+    """
+
+    def __init__(self, block: tx.Block, min_words: int, run_words: int = 0, whole: bool = False):
         data = tx.LOWER[block.data]
-        lines = tx.spans(data, block.offsets, tx.NOT_NEWLINE, hashed=False)
-        words = tx.spans(data, block.offsets, tx.NOT_SPACE)
+        lines = tx.spans(data, block.offsets, ~tx.byte_set() if whole else tx.NOT_NEWLINE, hashed=False)
+        words = self.words = tx.spans(data, block.offsets, tx.NOT_SPACE)
+        self.lines = lines
         first, end = np.searchsorted(words.start, lines.start), np.searchsorted(words.start, lines.end)
-        long = end - first >= max(min_words, SHINGLE)
+        self.line_words = first, end
+        least = max(min_words, SHINGLE)
+        long = end - first >= least
         self.start, self.end, self.doc = lines.start[long], lines.end[long], lines.doc[long]
-        first, end = first[long], end[long]
+        if run_words:
+            runs = self._runs(first, end, long, least, max(run_words, 2 * least))
+            order = np.argsort(np.concatenate([self.start, runs[0]]), kind="stable")
+            self.start, self.end, self.doc, first, end = (
+                np.concatenate(x)[order] for x in zip((self.start, self.end, self.doc, first[long], end[long]), runs))
+        else:
+            first, end = first[long], end[long]
         size = end - first
         line = np.repeat(np.arange(len(size)), size)
         word = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
@@ -52,6 +73,43 @@ class Paragraphs:
         self.n = np.bincount(self.line, minlength=len(size))
         self.first = np.cumsum(self.n) - self.n
 
+    def _runs(self, first, end, long, least, most) -> tuple[np.ndarray, ...]:
+        """Runs of short lines: start, end, text, first word, end word."""
+        lines, words = self.lines, self.words
+        short = (end > first) & ~long
+        follows = np.zeros(len(short), bool)
+        follows[1:] = short[1:] & short[:-1] & (lines.start[1:] == lines.end[:-1] + 1) & (lines.doc[1:] == lines.doc[:-1])
+        head = np.flatnonzero(short & ~follows)
+        tail = np.flatnonzero(short & ~np.append(follows[1:], False)) if len(short) else head
+        enough = end[tail] - first[head] >= least
+        head, tail = head[enough], tail[enough]
+        out = []
+        for h, t in zip(head.tolist(), tail.tolist()):
+            a, z = int(first[h]), int(end[t])
+            cuts = [a]
+            if z - a > most:
+                pair = tx.mix(words.hash[a:z - 1] * np.uint64(3) + words.hash[a + 1:z])
+                for c in (a + 2 + np.flatnonzero(pair % np.uint64(CUT_EVERY) == 0)).tolist():
+                    if c - cuts[-1] >= least and z - c >= least:
+                        cuts.append(c)
+            cuts.append(z)
+            for lo, hi in zip(cuts, cuts[1:]):
+                out.append((lines.start[h] if lo == a else words.start[lo], lines.end[t] if hi == z else words.end[hi - 1],
+                            lines.doc[h], lo, hi))
+        return tuple(np.array(out, np.int64).reshape(-1, 5).T)
+
+    def short_lines(self, short_words: int, min_words: int) -> tuple[np.ndarray, ...]:
+        """Lines of ``short_words`` words and more that are shorter than a paragraph: start, end, text, hash of the words."""
+        first, end = self.line_words
+        size = end - first
+        at = np.flatnonzero((size >= max(short_words, 1)) & (size < max(min_words, SHINGLE)))
+        first, size = first[at], size[at]
+        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        value = tx.mix(self.words.hash[np.repeat(first, size) + place] + (place + 1).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+        total = np.add.reduceat(value, np.cumsum(size) - size) if len(at) else np.zeros(0, np.uint64)
+        node = tx.mix(total ^ (size.astype(np.uint64) + np.uint64(0xE7037ED1A0B428DB)))
+        return self.lines.start[at], self.lines.end[at], self.lines.doc[at], node.view(np.int64)
+
     def nodes(self) -> np.ndarray:
         if not len(self.n):
             return np.zeros(0, np.int64)
@@ -69,19 +127,25 @@ class Paragraphs:
         return out.view(np.int64)
 
 
-def _signatures(source: DataFrame, min_words: int) -> DataFrame:
-    """One row a paragraph: id, t, lo, hi (bytes in the text), node, n, bands."""
+def _signatures(source: DataFrame, min_words: int, short_words: int | None, run_words: int) -> DataFrame:
+    """One row a paragraph or short line: id, t, lo, hi (bytes in the text), short, node, n, bands (none for short lines)."""
 
     def run(block: tx.Block):
-        p = Paragraphs(block, min_words)
+        p = Paragraphs(block, min_words, run_words)
         bands = p.bands()
+        start, end, doc, node, n = p.start, p.end, p.doc, p.nodes(), p.n
+        if short_words is not None:
+            more = p.short_lines(short_words, min_words)
+            start, end, doc, node = (np.concatenate(x) for x in zip((start, end, doc, node), more))
+            n = np.concatenate([n, np.zeros(len(more[0]), n.dtype)])
+        banded = np.minimum(np.arange(len(n) + 1, dtype=np.int32), np.int32(len(p.n))) * np.int32(BANDS)
         return tx.record_batch(
-            id=block.column("id").to_numpy()[p.doc], t=block.column("t").to_numpy()[p.doc],
-            lo=(p.start - block.offsets[p.doc]).astype(np.int32), hi=(p.end - block.offsets[p.doc]).astype(np.int32),
-            node=p.nodes(), n=p.n.astype(np.int32),
-            bands=pa.ListArray.from_arrays(pa.array(np.arange(len(p.n) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel())))
+            id=block.column("id").to_numpy()[doc], t=block.column("t").to_numpy()[doc],
+            lo=(start - block.offsets[doc]).astype(np.int32), hi=(end - block.offsets[doc]).astype(np.int32),
+            short=np.arange(len(n)) >= len(p.n), node=node, n=n.astype(np.int32),
+            bands=pa.ListArray.from_arrays(pa.array(banded), pa.array(bands.ravel())))
 
-    return staged(tx.map_blocks(source, "text", run, "id long, t int, lo int, hi int, node long, n int, bands array<long>"),
+    return staged(tx.map_blocks(source, "text", run, "id long, t int, lo int, hi int, short boolean, node long, n int, bands array<long>"),
                   "paragraphs")
 
 
@@ -114,7 +178,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             table = pa.record_batch([pa.array([words[i] for i in first], pa.large_string())], names=["text"])
             sets = []
             for block in tx.blocks(table, "text"):
-                p = Paragraphs(block, SHINGLE)
+                p = Paragraphs(block, SHINGLE, whole=True)
                 sets += np.split(p.key, p.first[1:])
             good = []
             for k, (i, j) in enumerate(zip(np.searchsorted(ids, a).tolist(), np.searchsorted(ids, b).tolist())):
@@ -160,10 +224,16 @@ def _roots(source: DataFrame, paragraphs: DataFrame, percent: int) -> DataFrame:
 
 
 def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                      min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
+                      min_words: int = MIN_WORDS, percent: int = PERCENT,
+                      short_words: int | None = None, run_words: int = 0) -> DataFrame:
     """Each row without paragraphs that are equal or similar to an earlier one.
 
-    Returns id, n_paragraphs (lines of ``min_words`` words and more),
+    With ``run_words``, consecutive lines below ``min_words`` words are paragraphs
+    together, cut by content above ``run_words`` words. With ``short_words``, single
+    lines from that many words to below ``min_words`` go too if an equal line (case and
+    white space aside) stays earlier; lines that a removed paragraph touches don't count.
+
+    Returns id, n_paragraphs (lines of ``min_words`` words and more, runs and short lines),
     n_removed, n_bytes, removed_bytes, first_doc_ids (where the paragraphs
     that stay for the removed ones stand), removed (list of byte spans) and
     kept_text. Of a component the paragraph of the least (id, start) stays. Null
@@ -175,15 +245,30 @@ def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     source = (tx.pick(docs, id=id_col, text=text_col)
               .select(F.coalesce(F.col("id").cast("long"), F.lit(-2**63)).alias("id"), F.hash(text).alias("t"),
                       text.alias("text")))
-    paragraphs = _signatures(source, min_words)
+    every = _signatures(source, min_words, short_words, run_words)
+    paragraphs = every.filter("not short")
     root = _roots(source, paragraphs, percent)
-    placed = (paragraphs.select("id", "t", "lo", "hi", "node").join(root, "node", "left")
+    placed = (paragraphs.select("id", "t", "lo", "hi", "short", "node").join(root, "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
-    first = placed.groupBy("root").agg(F.min(F.struct("id", "lo", "t")).alias("first"))
-    of_doc = staged(placed.join(first, "root").groupBy("id", "t").agg(
-        F.count_distinct("lo").alias("n_paragraphs"),
-        F.collect_set(F.when(F.struct("id", "lo", "t") != F.col("first"),
-                             F.struct("lo", "hi", F.col("first.id").alias("first")))).alias("spans")), "paragraph-removals")
+    place = F.struct("id", "lo", "t")
+    first = placed.groupBy("root").agg(F.min(place).alias("first"))
+    span = F.when(place != F.col("first"), F.struct("lo", "hi", F.col("first.id").alias("first"))).alias("span")
+    spans = placed.join(first, "root").select("id", "t", "lo", "short", span)
+    if short_words is not None:
+        spans = staged(spans, "paragraph-spans")
+        lines = every.filter("short").select("id", "t", "lo", "hi", "short", "node")
+        # A line can only stand for others if it stays: those in removed paragraphs are out first.
+        gone = spans.filter("span is not null").groupBy("id", "t").agg(F.collect_set("span").alias("gone"))
+        left = staged(lines.join(gone, ["id", "t"], "left")
+                      .filter(~F.coalesce(F.exists("gone", lambda s: (s["lo"] < F.col("hi")) & (F.col("lo") < s["hi"])), F.lit(False)))
+                      .drop("gone"), "paragraph-lines")
+        first = (left.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                 .filter("first <> last").drop("last"))
+        again = left.join(first.hint("shuffle_hash"), "node").select("id", "t", "lo", "short", span)
+        spans = (spans.unionByName(lines.select("id", "t", "lo", "short", F.lit(None).cast(spans.schema["span"].dataType).alias("span")))
+                 .unionByName(again.filter("span is not null")))
+    of_doc = staged(spans.groupBy("id", "t").agg(F.count_distinct("short", "lo").alias("n_paragraphs"),
+                                                 F.collect_set("span").alias("spans")), "paragraph-removals")
 
     def run(block: tx.Block):
         rows = {k: [] for k in ("n_removed", "n_bytes", "removed_bytes", "first_doc_ids", "removed", "kept_text")}
