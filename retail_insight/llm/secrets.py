@@ -3,8 +3,11 @@
 Three plain patterns give the base spans. Further candidates are reported
 only if they decode: base64 or hex to a DER key or certificate whose nested
 lengths add up, to an SSH key blob whose length-prefixed fields add up, an
-armoured key block whose body decodes to one of these, or a signed token whose
-header is a JSON object that names an algorithm. One scan, no shuffle.
+armoured key block whose body decodes to one of these or to PGP packets whose
+lengths add up, or a signed token whose header is a JSON object that names an
+algorithm. Base64 may be wrapped, quoted or inside a string literal: line ends
+(also escaped), quote marks and '>' prefixes are taken out before decoding.
+One scan, no shuffle.
 """
 
 from __future__ import annotations
@@ -26,10 +29,14 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 MIN_ASSIGNED = 12
 BASE_KINDS = ("assign", "access", "hex")
 
-ARMOUR = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ ){0,3}(?:KEY|CERTIFICATE))-----(?P<body>[A-Za-z0-9+/=\s,:.-]{16,}?)-----END \1-----")
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+BEGIN = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ ){0,3}(?:KEY|CERTIFICATE)(?: BLOCK)?)-----")
+TOKEN = re.compile(r"(?:(?<![A-Za-z0-9_-])|(?<=\\[nrt]))(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}")
-HEX_DATA = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{64,}|[0-9A-F]{64,})(?![0-9A-Za-z])")
+_SEP = r"""(?:(?:\\r)?\\n(?:["'][ \t+,.\\]*\r?\n[ \t]*["'])?[ \t>|#*]*|(?:["'][ \t+,.\\]*|[ \t]*)\r?\n[ \t>|#*"']*)"""
+SEP = re.compile(_SEP)
+#: Base64 over two lines and more, from a line that may begin a DER SEQUENCE or an SSH key.
+LINES = re.compile(rf"([MAb](?:(?<![A-Za-z0-9+/].)|(?<=\\[nrt].))(?:(?<=M)|(?<=A)AAA|(?<=b)3Blb)[A-Za-z0-9+/]{{12,}}+(?:{_SEP}[A-Za-z0-9+/]++)+)")
+HEX_DATA = re.compile(r"3(?:(?<![0-9A-Za-z].)|(?<=\\[nrt].))0(?:[0-9a-f]{62,}|[0-9A-F]{62,})(?![0-9A-Za-z])")
 KINDS = (*BASE_KINDS, "armour", "jwt", "der", "ssh", "hex_der")
 _ORDER = {k: i for i, k in enumerate(KINDS)}
 
@@ -102,6 +109,96 @@ def is_ssh_blob(data: bytes) -> bool:
     return fields >= 2
 
 
+def is_pgp_key(data: bytes) -> bool:
+    """Packets whose lengths fill ``data``, the first a key."""
+    at, packets = 0, 0
+    while at < len(data):
+        head = data[at]
+        if not head & 0x80:
+            return False
+        tag, at, more = head & 0x3F if head & 0x40 else head >> 2 & 15, at + 1, True
+        if not packets and tag not in (5, 6):
+            return False
+        body = at
+        while more:
+            first, more = data[at:at + 1], False
+            if not first:
+                return False
+            if not head & 0x40:
+                n = (1, 2, 4, 0)[head & 3]
+                size = int.from_bytes(data[at:at + n], "big") if n else len(data) - at
+            elif first[0] < 192:
+                n, size = 1, first[0]
+            elif first[0] < 224:
+                n, size = 2, (first[0] - 192 << 8) + int.from_bytes(data[at + 1:at + 2], "big") + 192
+            elif first[0] < 255:
+                n, size, more = 1, 1 << (first[0] & 31), True
+            else:
+                n, size = 5, int.from_bytes(data[at + 1:at + 5], "big")
+            body, at = at + n if body == at else body, at + n + size
+            if at > len(data):
+                return False
+        if not packets and (at - body < 16 or data[body] not in (2, 3, 4, 5, 6)):
+            return False
+        packets += 1
+    return packets >= 1
+
+
+def armoured(body: str) -> str:
+    """The base64 of an armour body: escapes, quoting and header lines taken out."""
+    lines = re.sub(r"\\+(?:[rnt]|u000[AaDd])", "\n", body).replace("\\/", "/").split("\n")
+    out = []
+    for line in lines:
+        line = re.sub(r"""^[\s>|#*"']+""", "", re.sub(r"""(?:["'][\s+,.;)\\]*|\\+\s*)$""", "", line))
+        if not re.match(r"[A-Za-z0-9-]+:", line):
+            out += line.split()
+    return "".join(out)
+
+
+def key_ends(data: bytes) -> list[int]:
+    """Where a key that begins ``data`` may end, by its own lengths."""
+    if data[:1] == b"\x30":
+        first = data[1] if len(data) > 1 else 0
+        n = first & 0x7F if first & 0x80 else 0
+        return [2 + n + int.from_bytes(data[2:2 + n], "big")] if n <= 4 and n else [2 + first]
+    ends, at, left = [], 0, -1      # left: strings still to come; -1: any number
+    if data.startswith(b"openssh-key-v1\x00"):
+        at, left = 15, 3
+    fields = 0
+    while at + 4 <= len(data) and left:
+        at += 4 + int.from_bytes(data[at:at + 4], "big")
+        fields += 1
+        left -= left > 0
+        if fields == 3 and not left:        # the number of keys; then theirs and the private part
+            left, at = int.from_bytes(data[at:at + 4], "big") + 1, at + 4
+        if at <= len(data) and (left < 0 and fields >= 2 or not left):
+            ends.append(at)
+    return ends
+
+
+def wrapped_spans(text: str) -> list[tuple[int, int, str]]:
+    """Keys in base64 over several lines: their own lengths say after which line they end."""
+    found = []
+    for m in LINES.finditer(text):
+        run, pieces, at, total, line_end = m[1], [], 0, 0, {}
+        for sep in [*(x.span() for x in SEP.finditer(run)), (len(run), len(run))]:
+            pieces.append(run[at:sep[0]])
+            total += sep[0] - at
+            if len(pieces) > 1:
+                line_end[total] = m.start(1) + sep[0]
+            at = sep[1]
+        joined = "".join(pieces)
+        data = unbase64(joined[:len(joined) // 4 * 4]) or b""
+        kind, test = ("der", is_der_key) if run[0] == "M" else ("ssh", is_ssh_blob)
+        for end in reversed(key_ends(data + b"\0\0")):
+            need = -(-4 * end // 3)
+            if need in line_end and test((unbase64(joined[:need]) or b"")[:end]):
+                stop = line_end[need]
+                found.append((m.start(1), stop + len(re.match("={0,2}", text[stop:stop + 2])[0]), kind))
+                break
+    return found
+
+
 def is_token_header(segment: str) -> bool:
     data = unbase64(segment, urlsafe=True)
     try:
@@ -122,16 +219,24 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """Candidates whose decoded structure is that of a key or a signed token."""
     found = []
-    for m in ARMOUR.finditer(text) if "-----BEGIN " in text else ():
-        body = re.sub(r"^[A-Za-z0-9-]+:.*$", "", m["body"], flags=re.M)
-        data = unbase64(re.sub(r"\s+", "", body))
-        if data and (is_der_key(data) or is_ssh_blob(data) or "ENCRYPTED" in m["body"]):
-            found.append((m.start(), m.end(), "armour"))
+    begins = list(BEGIN.finditer(text)) if "-----BEGIN " in text else []
+    for m, after in zip(begins, [*(x.start() for x in begins[1:]), len(text)]):
+        mark = f"-----END {m[1]}-----"
+        if (end := text.find(mark, m.end(), after)) < 0:
+            continue
+        raw = text[m.end():end]
+        body, pgp = armoured(raw), m[1].startswith("PGP ")
+        data = unbase64(re.sub("=[A-Za-z0-9+/]{4}$", "", body) if pgp else body)    # without the CRC
+        if data and (is_pgp_key(data) if pgp else is_der_key(data) or is_ssh_blob(data) or "ENCRYPTED" in raw):
+            found.append((m.start(), end + len(mark), "armour"))
+    armours = list(found)
     for m in TOKEN.finditer(text) if "eyJ" in text else ():
         if is_token_header(m[1]) and unbase64(m[2], urlsafe=True) and unbase64(m[3], urlsafe=True) is not None:
             found.append((m.start(), m.end(), "jwt"))
     for m in BASE64.finditer(text):
-        s = m[0]
+        s, start = m[0], m.start()
+        if s[0] in "nrt" and text[start - 1:start] == "\\":     # an escaped line end
+            s, start = s[1:], start + 1
         if s.startswith("M"):       # a DER SEQUENCE begins with byte 0x30
             data, kind, test = unbase64(s), "der", is_der_key
         elif s.startswith("AAAA") or s.startswith("b3Blb"):   # a small length; openssh-key
@@ -139,9 +244,10 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
         else:
             continue
         if data and test(data):
-            found.append((m.start(), m.end(), kind))
+            found.append((start, m.end(), kind))
+    found += [f for f in wrapped_spans(text) if not any(s <= f[0] and f[1] <= e for s, e, _ in armours)]
     for m in HEX_DATA.finditer(text):
-        if len(m[0]) % 2 == 0 and m[0].startswith("30") and is_der_key(bytes.fromhex(m[0])):
+        if len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
             found.append((m.start(), m.end(), "hex_der"))
     return found
 
