@@ -12,6 +12,7 @@ is walked until its value obeys them, which keeps it one to one.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from functools import lru_cache
 
@@ -42,20 +43,49 @@ _ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "01234
               "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
               "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
 _ALPHABET_OF = {c: a for a in _ALPHABETS for c in a}
+# Other letters of addresses and names, by block and case: Latin, Greek, Cyrillic, Hebrew, Arabic, Devanagari, Thai, kana, Han, Hangul.
+for _first, _last in ((0xC0, 0x24F), (0x370, 0x3FF), (0x400, 0x52F), (0x5D0, 0x5EA), (0x620, 0x64A), (0x904, 0x939),
+                      (0xE01, 0xE2E), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3)):
+    for _case in ("islower", "isupper", ""):
+        _more = "".join(c for c in map(chr, range(_first, _last + 1)) if c.isalpha() and c not in _ALPHABET_OF
+                        and (getattr(c, _case)() if _case else not c.islower() and not c.isupper()))
+        _ALPHABET_OF |= dict.fromkeys(_more, _more)
 
 _GIVEN_OF = {n: k for k, names in GIVEN.items() for n in names}
 _NAMES = "|".join(sorted(_GIVEN_OF, key=len, reverse=True))
+# Letters of scripts that are written without spaces, or with endings on foreign words: they end an entity of other letters.
+_DENSE = "ก-໿က-႟ក-៿ぁ-ヿ㐀-䶿一-鿿가-힣豈-﫿"
+_PLAIN = rf"[^\W{_DENSE}]"       # a word character of other scripts
+_CHAR = rf"(?:{_PLAIN}|[̀-ͯ])"
+_LETTER = rf"[^\W\d_{_DENSE}]"
+_LABEL = rf"(?:[^\W_{_DENSE}]|[̀-ͯ-]){{1,63}}"
+_TOP = rf"(?:xn--[A-Za-z0-9-]{{2,59}}|{_LETTER}{{2,24}})"
+_DENSE_DOMAIN = rf"(?:{_LABEL}\.)*[{_DENSE}]{{1,63}}\.(?:[{_DENSE}]{{2,10}}|{_TOP})"
+_HEX = "[0-9a-fA-F]{1,4}"
+_FAMILY = rf"(?:[^\W\d_a-zа-яα-ω{_DENSE}]{_LETTER}+|[{_DENSE}]{{2,}})"
+_CAPITAL = rf"(?=[^\Wa-z])[^\W\d_a-zа-яα-ωß-öø-ÿά-ώѐ-џ{_DENSE}]"
+_WORD = rf"{_CAPITAL}{_LETTER}+(?:[-'’]{_CAPITAL}{_LETTER}+)*"
+_TITLE = ("Mrs?|Ms|Mx|Miss|Mister|Dr|Prof|Professor|Sir|Madam|Mme|Mlle|Madame|Monsieur|Herrn?|Frau|Sr|Sra|Señora?|Don|Doña|Signora?"
+          "|[Гг]осподин|[Гг]оспожа|[Гг]-н|[Гг]-жа|[Κκ]ύριος|[Κκ]υρία|[Κκ]ος|[Κκ]α")
+_BEFORE = ("[Mm]y name is|[Nn]ame ?:|[Ss]igned by|[Ww]ritten by|[Aa]uthor ?:|[Cc]ontact ?:|[Aa]ttn[.:]|Dear|Sincerely,|[Rr]egards,"
+           "|[Ii]ch heiße|[Jj]e m['’]appelle|[Mm]e llamo|[Мм]еня зовут|[Μμ]ε λένε")
 PATTERNS = (
-    ("email", re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![\w-])")),
-    ("iban", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)")),
-    ("card", re.compile(r"(?<![\w.+-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|3\d{3}([ -])\d{6}\2\d{5})(?![\w-])")),
-    ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
+    ("email", re.compile(rf"(?:(?<!{_PLAIN})(?<![̀-ͯ.%+-])(?:{_CHAR}|[.%+-]){{1,64}}|(?<![{_DENSE}])[{_DENSE}]{{1,64}})"
+                         rf"@(?:{_DENSE_DOMAIN}|(?:{_LABEL}\.)+{_TOP})(?![^\W_{_DENSE}])")),
+    ("iban", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)", re.ASCII)),
+    ("card", re.compile(r"(?<!\w)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|3\d{3}([ -])\d{6}\2\d{5})(?![\w-])", re.ASCII)),
+    ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", re.ASCII)),
     ("phone", re.compile(r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)"
-                         r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}([ .-])\d{3}\1\d{4}(?![\w-])")),
-    ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d)")),
-    ("name", re.compile(rf"(?<!\w)(?P<given>{_NAMES})(?P<gap>[  ])(?P<family>[^\W\d_a-zа-яα-ω][^\W\d_]+)(?!\w)")),
+                         r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}([ .-])\d{3}\1\d{4}(?![\w-])", re.ASCII)),
+    ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d)", re.ASCII)),
+    ("ip6", re.compile(rf"(?<!\w)(?<![0-9a-fA-F:]:)(?:{_HEX}(?::{_HEX}){{7}}(?!\w|:[0-9a-fA-F])"
+                       rf"|{_HEX}(?::{_HEX}){{0,6}}::(?:{_HEX}(?::{_HEX}){{0,6}})?(?![\w:.]|:[0-9a-fA-F])"
+                       rf"|{_HEX}(?::{_HEX}){{0,6}}::(?:{_HEX}(?::{_HEX}){{0,6}})?(?=[:.](?![0-9a-fA-F:])))", re.ASCII)),
+    ("name", re.compile(rf"(?<!{_PLAIN})(?P<given>{_NAMES})(?P<gap>[  ])(?P<family>{_FAMILY})(?!{_PLAIN})")),
+    ("name", re.compile(rf"(?<!\w)(?:(?:{_TITLE})\.?|{_BEFORE})\s(?:(?:{_TITLE})\.?[  ])*"
+                        rf"(?P<person>{_WORD}(?:[  ](?:{_CAPITAL}\.|{_WORD})){{0,2}})(?!{_PLAIN})")),
 )
-KINDS = tuple(k for k, _ in PATTERNS)
+KINDS = tuple(dict.fromkeys(k for k, _ in PATTERNS))
 
 
 def luhn(digits: str) -> int:
@@ -143,6 +173,62 @@ def _ip(text: str, key: bytes) -> str:
     return ".".join(map(str, value.to_bytes(4, "big")))
 
 
+def _ip6(text: str, key: bytes) -> str:
+    """Within its kind of network: those leading bits stay, the others are permuted."""
+    value = int(ipaddress.IPv6Address(text))
+    fixed = next((n for net, n in _NETS if value >> 128 - n == net), 3)
+    left = 128 - fixed
+    value = value >> left << left | permute(value & (1 << left) - 1, 1 << left, key, f"ip6{value >> left},{fixed}")
+    address = ipaddress.IPv6Address(value)
+    new = address.exploded if len(text) == 39 else address.compressed
+    return new.upper() if text.upper() == text and text.lower() != text else new
+
+
+#: Documentation, link-local, unique local, multicast.
+_NETS = tuple((int(ipaddress.IPv6Network(n).network_address) >> 128 - (k := ipaddress.IPv6Network(n).prefixlen), k)
+              for n in ("2001:db8::/32", "fe80::/10", "fc00::/7", "ff00::/8"))
+
+
+def _is_ip6(text: str) -> bool:
+    """Valid, and not a slice or a scope of a program: ``1::2``, ``a::b``."""
+    try:
+        address = ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    groups = [g for g in text.split(":") if g]
+    return (re.search("[0-9]", text) is not None and (len(groups) > 3 or len(groups[0]) == 4)
+            and not address.is_loopback)
+
+
+def _is_card(text: str, at: int, number: str) -> bool:
+    """A long number that a mark precedes can be a phone, a fraction or part of another number."""
+    mark, digits = text[at - 1:at] if at else "", re.sub(r"\D", "", number)
+    if mark == "+":
+        return len(digits) > 15
+    if mark not in (".", "-") or not re.match("[0-9A-Za-z_]", text[at - 2:at - 1] if at > 1 else ""):
+        return True
+    before = re.search(r"\w+$", text[max(0, at - 40):at - 1], re.ASCII)[0]
+    if not before[-1].isdigit():
+        return mark == "." or digits[0] in "3456" and luhn(digits[:-1]) == int(digits[-1])
+    return before.strip("0") != "" and digits[0] in "3456" and luhn(digits[:-1]) == int(digits[-1])
+
+
+def _name(text: str, key: bytes) -> str:
+    """Word by word: the last is the family name, the others are given names."""
+    parts = re.split(r"([ \u00a0])", text)
+    *given, family = parts[::2]
+    script = _GIVEN_OF[given[0]][1] if given and given[0] in _GIVEN_OF else next(
+        (s for s, lo, hi in (("greek", "\u0370", "\u03ff"), ("cyrillic", "\u0400", "\u052f")) if lo <= family[0] <= hi), "latin")
+    for i, word in enumerate(given):
+        if word in _GIVEN_OF:
+            gender, of = _GIVEN_OF[word]
+            parts[2 * i] = _pooled(word, GIVEN[gender, of], key, f"{gender}{of}")
+        else:
+            parts[2 * i] = same_form(word, key, "given", good=lambda w: w in _GIVEN_OF)
+    parts[-1] = _pooled(family, FAMILY[script], key, f"family{script}")
+    return "".join(parts)
+
+
 @lru_cache(maxsize=100_000)
 def surrogate(kind: str, text: str, key: bytes) -> str:
     """The replacement of one entity. Case in e-mail addresses is kept, the
@@ -167,15 +253,14 @@ def surrogate(kind: str, text: str, key: bytes) -> str:
         return m[0] + _with_digits(rest, plain)
     if kind == "ip":
         return _ip(text, key)
+    if kind == "ip6":
+        return _ip6(text, key)
     if kind == "iban":
         body = same_form(text[4:], key, f"iban{text[:2]}")
         s = body.replace(" ", "") + text[:2] + "00"
         check = 98 - int("".join(str(int(c, 36)) for c in s)) % 97
         return f"{text[:2]}{check:02d}{body}"
-    given, gap, family = re.split(r"([  ])", text, maxsplit=1)
-    gender, script = _GIVEN_OF[given]
-    return (_pooled(given, GIVEN[gender, script], key, f"{gender}{script}") + gap
-            + _pooled(family, FAMILY[script], key, f"family{script}"))
+    return _name(text, key)
 
 
 def entities(text: str) -> list[tuple[int, int, str]]:
@@ -185,11 +270,15 @@ def entities(text: str) -> list[tuple[int, int, str]]:
     for kind, pattern in PATTERNS:
         if kind == "email" and "@" not in text or kind not in ("email", "name") and not has_digit:
             continue
+        if kind == "ip6" and "::" not in text and text.count(":") < 7:
+            continue
         for m in pattern.finditer(text):
-            if kind == "iban" and not _iban_valid(m[0]):
+            if (kind == "iban" and not _iban_valid(m[0]) or kind == "ip6" and not _is_ip6(m[0])
+                    or kind == "card" and not _is_card(text, m.start(), m[0])):
                 continue
-            if all(m.end() <= s or m.start() >= e for s, e, _ in found):
-                found.append((m.start(), m.end(), kind))
+            start, end = m.span("person" if "person" in pattern.groupindex else 0)
+            if all(end <= s or start >= e for s, e, _ in found):
+                found.append((start, end, kind))
     return sorted(found)
 
 
