@@ -173,6 +173,18 @@ def _ip(text: str, key: bytes) -> str:
     return ".".join(map(str, value.to_bytes(4, "big")))
 
 
+def _phone(text: str, key: bytes) -> str:
+    """By country code and national number, however they are written; a number without ``+`` is in the form of country 1."""
+    digits = re.sub(r"\D", "", text)
+    code = ""
+    if text[0] == "+":
+        code = next((digits[:n] for n in (1, 2) if digits[:n] in _COUNTRY), digits[:3])
+    trunk = "0" if "(0)" in text and digits[len(code):len(code) + 1] == "0" else ""
+    national = digits[len(code + trunk):]
+    new = same_form(national, key, f"phone+{code or '1'}", good=lambda t: t[:1] in tuple("23456789"))
+    return _with_digits(text, code + trunk + new)
+
+
 def _ip6(text: str, key: bytes) -> str:
     """Within its kind of network: those leading bits stay, the others are permuted."""
     value = int(ipaddress.IPv6Address(text))
@@ -184,6 +196,9 @@ def _ip6(text: str, key: bytes) -> str:
     return new.upper() if text.upper() == text and text.lower() != text else new
 
 
+#: Country codes of one and two digits; all others have three.
+_COUNTRY = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                     "81 82 84 86 90 91 92 93 94 95 98".split())
 #: Documentation, link-local, unique local, multicast.
 _NETS = tuple((int(ipaddress.IPv6Network(n).network_address) >> 128 - (k := ipaddress.IPv6Network(n).prefixlen), k)
               for n in ("2001:db8::/32", "fe80::/10", "fc00::/7", "ff00::/8"))
@@ -246,11 +261,7 @@ def surrogate(kind: str, text: str, key: bytes) -> str:
         return same_form(text, key, "ssn", good=lambda t: t[:3] not in ("000", "666") and t[0] != "9"
                          and t[4:6] != "00" and t[7:] != "0000")
     if kind == "phone":
-        m = re.match(r"\+\d{1,3}(?=\D)|\+\d|", text)
-        rest = text[m.end():]
-        digits = re.sub(r"\D", "", rest)
-        plain = same_form(digits, key, f"phone{m[0]}", good=lambda t: t[0] in "23456789")
-        return m[0] + _with_digits(rest, plain)
+        return _phone(text, key)
     if kind == "ip":
         return _ip(text, key)
     if kind == "ip6":

@@ -46,3 +46,16 @@ def test_one_entity_one_surrogate():
     assert pii.ipaddress.ip_address(a) == pii.ipaddress.ip_address(b) != pii.ipaddress.ip_address("2a02:8108::1")
     assert len({pii.surrogate("ip6", f"fe80::{i:x}", KEY) for i in range(1000)}) == 1000
     assert pii.surrogate("ip6", "fe80::1", KEY).startswith("fe") and pii.surrogate("name", "Ouheal", KEY) != "Ouheal"
+
+
+def test_one_phone_in_several_forms():
+    def digits(text):
+        return "".join(c for c in pii.surrogate("phone", text, KEY) if c.isdigit())
+
+    assert digits("+1 (386) 555-1832") == "1" + digits("(386) 555-1832") == "1" + digits("386-555-1832") == digits("+13865551832")
+    assert digits("+442012345678") == digits("+44 20 1234 5678") == digits("+44 (0)20 1234 5678").replace("440", "44", 1)
+    assert digits("+353 1 234 5678") == digits("+35312345678")
+    assert digits("+44 20 1234 5678").startswith("44") and pii.surrogate("phone", "+44 (0)20 1234 5678", KEY).startswith("+44 (0)")
+    assert digits("+1 (386) 555-1832") != digits("+1 (386) 555-1833") and digits("+13865551832") != "13865551832"
+    forms = [f"+44 20 1234 {i:04d}" for i in range(2000)] + [f"+44 120 1234 {i:04d}" for i in range(2000)]
+    assert len({digits(f) for f in forms}) == 4000
