@@ -32,7 +32,7 @@ _BITS = 20
 class WindowSet:
     """Windows of benchmark items: hash filter, sorted hashes, and the words with their items."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int):
+    def __init__(self, items: list[tuple[str | None, str]], window: int):
         self.items = [i for i, _ in items]
         where: dict[int, dict[bytes, set[int]]] = defaultdict(lambda: defaultdict(set))
         hashes: dict[int, list[np.ndarray]] = defaultdict(list)
@@ -77,12 +77,12 @@ def _joined(data: np.ndarray, words: tx.Spans, at: int, size: int) -> bytes:
 
 def _window_sets(bench: DataFrame, item_col: str, text_col: str, window: int, block_text: int):
     """One :class:`WindowSet` for each block of the benchmark, built one after the other."""
-    items = tx.pick(bench, item=item_col, text=text_col).filter("item is not null and text is not null")
+    items = tx.pick(bench, item=item_col, text=text_col).filter("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(size / block_text))
     for b in range(n):
         part = items if n == 1 else items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == b)
-        yield WindowSet([(str(r["item"]), r["text"]) for r in part.distinct().collect()], window)
+        yield WindowSet([(None if r["item"] is None else str(r["item"]), r["text"]) for r in part.distinct().collect()], window)
 
 
 def _mark(block: tx.Block, sets: WindowSet, earlier_hits, earlier_items):
@@ -125,7 +125,7 @@ def _noted(frame: DataFrame, sets, noted: bool) -> DataFrame:
         at = [np.flatnonzero(hit[first[i]:first[i + 1]]).tolist() for i in range(block.n)]
         columns = [block.column(c) for c in base]
         return pa.RecordBatch.from_arrays(
-            [*columns, pa.array(at, pa.list_(pa.int64())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
+            [*columns, pa.array(at, pa.list_(pa.int64())), pa.array([list(x) for x in items], pa.list_(pa.string()))],
             names=[*base, "__hits", "__items"])
 
     fields = frame.select(*[f"`{c}`" for c in base]).schema
@@ -142,8 +142,9 @@ def scan_benchmark(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id",
     """Benchmark hits of every row of ``docs``.
 
     ``contaminated``: a word is hit and share * n_hit >= n_words. Null texts
-    have no words. Benchmark rows with a null id or text, or without a word,
-    give no window; rows that share an id count as one item. An empty
+    have no words. Benchmark rows with a null text, or without a word,
+    give no window; rows that share an id count as one item. Rows with a null
+    id are one item too, which n_items counts and the digest leaves out. An empty
     benchmark leaves every document clean. Other columns are not read.
     """
     source = tx.pick(docs, id=id_col, text=text_col)
@@ -154,7 +155,7 @@ def scan_benchmark(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id",
             words, hit, items = _mark(block, sets.value, *_earlier(block, noted))
             n_words = words.per_doc(block.n)
             n_hit = np.bincount(words.doc[hit], minlength=block.n)
-            digest = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]
+            digest = [hashlib.sha256(",".join(sorted(x - {None})).encode()).hexdigest() for x in items]
             return tx.record_batch(id=block.column("id"), n_words=n_words.astype(np.int64),
                                    n_hit=n_hit.astype(np.int64), n_items=[len(x) for x in items],
                                    items_sha256=digest, contaminated=_contaminated(n_words, n_hit, share))
