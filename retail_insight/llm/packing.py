@@ -80,7 +80,7 @@ class Tokens:
                         break
             if "\u0130" in core:     # the one letter whose lower case ends in a mark
                 core, tail = w, ""
-            elif core.isascii():
+            elif core.isascii() and core.isalpha():    # added tokens are matched as they are written
                 core = core.lower()
             parts.append((core, tail))
         wanted = {x for pair in parts for x in pair}.difference(known)
