@@ -367,3 +367,14 @@ def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     once = repeated.filter(has_words).dropDuplicates([id_col])
     return (left.join(twice, id_col, "left_anti").select(docs.columns)
             .unionByName(once).unionByName(repeated.filter(~has_words)))
+
+
+def keep_one_of_each_text(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """As :func:`keep_one_of_each`, but only the texts link: rows that share an id are
+    documents of their own unless their texts are linked. Of each component the row of the
+    least id stays, and of its rows that of the least hash of the text.
+    """
+    key = F.when(F.col(f"`{id_col}`").isNotNull(), F.struct(
+        F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("t")))
+    keyed = docs.withColumn("__id_and_text", key)
+    return keep_one_of_each(keyed, id_col="__id_and_text", text_col=text_col, **options).select(docs.columns)
