@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ngram_join, packing, paragraph_dedup, pii, quality, quality_mil, secrets, sharding, substring_dedup
+from . import (
+    conversation_repair,
+    decontaminate,
+    merkle,
+    ngram_join,
+    packing,
+    paragraph_dedup,
+    pii,
+    quality,
+    quality_mil,
+    secrets,
+    sharding,
+    simhash_vptree,
+    substring_dedup,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,7 +70,19 @@ def op10_ngram_components(spark, sf_dir):
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return conversation_repair.damaged_and_repaired(_table(spark, sf_dir, "conversations"))
+
+
+def op12_simhash_vptree(spark, sf_dir):
+    return simhash_vptree.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(_table(spark, sf_dir, "documents"), changed=merkle.lower_case_some())
+
+
 QUERIES = {f.__name__: f for f in (
     op1_repetition_coverage, op2_secret_scan, op3_paragraph_dedup, op4_minimax_shards, op5_benchmark_hits,
     op6_attention_quality, op7_substring_dedup, op8_best_fit_packing,
-    op9_surrogates, op10_ngram_components)}
+    op9_surrogates, op10_ngram_components, op11_conversation_repair, op12_simhash_vptree, op13_merkle_manifest)}
