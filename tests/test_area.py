@@ -1,4 +1,4 @@
-from conftest import visit
+from visit_rows import visit
 
 from retail_insight import schemas
 from retail_insight.functions.city_share import city_share

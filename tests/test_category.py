@@ -1,4 +1,4 @@
-from conftest import visit
+from visit_rows import visit
 
 from retail_insight.operators import category
 from retail_insight.operators.visits import filter_visits

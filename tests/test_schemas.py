@@ -1,6 +1,6 @@
 """Result schemas equal the declared table schemas (what the JDBC sinks append)."""
 
-from conftest import visit
+from visit_rows import visit
 
 from retail_insight import schemas
 from retail_insight.operators import area, category

@@ -2,7 +2,7 @@
 joins are forced through sort-merge with AQE's skew split."""
 
 import pytest
-from conftest import visit
+from visit_rows import visit
 from pyspark.sql import functions as F
 
 from retail_insight.operators import ads, category
