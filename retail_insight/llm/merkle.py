@@ -100,7 +100,7 @@ def _chunk() -> Column:
 def _climb(nodes: DataFrame) -> DataFrame:
     """Nodes (tree, pos, n, digest) to those at the top of each chunk."""
 
-    def top(key, table: pa.Table) -> pa.Table:
+    def top(key, table):
         subtree, _ = _subtree(table)
         n = -(-table.column("n")[0].as_py() // ARITY ** HEIGHT)
         return pa.table({"tree": [key[0].as_py()], "pos": [key[1].as_py()], "n": [n], "digest": [subtree.top.decode()]})
@@ -124,7 +124,7 @@ _PATH = "subroot string, before array<string>, after array<string>"
 def _descend(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     """The path (siblings before and after at each level up to the root) of every node from those of the chunks."""
 
-    def down(key, table: pa.Table, above: pa.Table) -> pa.Table:
+    def down(_, table, above):
         subtree, table = _subtree(table)
         up = above.to_pylist()[0]
         out = {"tree": table.column("tree"), "pos": table.column("pos"), "subroot": [], "before": [], "after": []}
@@ -196,7 +196,7 @@ def manifest(docs: DataFrame, *, changed: dict[str, Column] | None = None, colum
     paths = _paths_of_chunks(trees, tops)
     id_type = rows.schema["id"].dataType.simpleString()
 
-    def fold(key, table: pa.Table, up: pa.Table) -> pa.Table:
+    def fold(_, table, up):
         subtree, table = _subtree(table)
         path = up.to_pylist()[0]
         before, after = ([s.encode() for s in path[side]] for side in ("before", "after"))

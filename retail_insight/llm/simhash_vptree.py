@@ -231,7 +231,7 @@ def links(nodes: DataFrame, *, radius: int = RADIUS, shard_rows: int = SHARD_ROW
             shard, at = route(tree, points, radius)
             yield tx.record_batch(shard=shard.astype(np.int64), fp=points[at].view(np.int64))
 
-    def compare(key, table: pa.Table) -> pa.Table:
+    def compare(_, table):
         points = np.unique(table.column("fp").to_numpy().view(np.uint64))
         root = search(points, radius, leaf_rows, dense_rows)
         linked = np.flatnonzero(root != np.arange(len(points)))
