@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: label of the remainder part, as in the reference output.
@@ -58,3 +58,31 @@ def city_share(per_city: DataFrame, keys: Sequence[str], city_col: str = "city_n
     if total_col:
         out.insert(len(keys), total.alias(total_col))
     return agg.select(*out)
+
+
+# -- the same remark as SQL functions -----------------------------------------
+# Their bodies are SQL expressions, which the optimizer inlines: no UDF runs.
+_CITIES = "cities ARRAY<STRUCT<city: STRING, n: BIGINT>>"
+_FUNCTIONS = {
+    "city_shares": f"""({_CITIES}) RETURNS ARRAY<STRUCT<city: STRING, share: DOUBLE>>
+      RETURN transform(
+        slice(array_sort(transform(cities, c -> struct(-c.n AS neg, c.city AS city))), 1, 2),
+        e -> struct(e.city AS city,
+                    floor(-e.neg / aggregate(cities, 0L, (t, c) -> t + c.n) * 1000 + 0.5D) / 10 AS share))""",
+    "city_ratio": f"""({_CITIES}) RETURNS STRING
+      RETURN concat_ws(',',
+        transform(city_shares(cities), s -> concat(s.city, ':', cast(s.share AS STRING), '%')),
+        CASE WHEN size(cities) > 2 THEN concat('{OTHERS_LABEL}:', cast(
+          floor(aggregate(city_shares(cities), 100.0D, (rest, s) -> rest - s.share) * 10 + 0.5D) / 10 AS STRING),
+          '%') END)""",
+}
+
+
+def register_city_ratio(spark: SparkSession) -> None:
+    """Make ``city_ratio(collect_list(struct(city_name AS city, n)))`` callable from the session's SQL.
+
+    Its argument lists one (city, count) a city of the group, in any order;
+    an empty list gives an empty remark.
+    """
+    for name, body in _FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{body}")

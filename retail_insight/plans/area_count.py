@@ -1,8 +1,8 @@
 """Area job (R4): top-3 products per area with the city share remark.
 
 Available as DataFrame calls and as SQL text over temp views. The SQL form
-builds the city remark from native functions too (no UDAF), so SQL users get
-the same plan shape as the DataFrame form.
+calls ``city_ratio``, a SQL function whose body the optimizer inlines, for
+ranked products only: the plan has the shape of the DataFrame form.
 """
 
 from __future__ import annotations
@@ -11,13 +11,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.city_share import OTHERS_LABEL
+from ..functions.city_share import register_city_ratio
 from ..operators import area
 
 # The same query in SQL, over the views user_visit_action, city_info and
-# product_info. Steps mirror the DataFrame form: clicks per city, then per
-# product with the remark, then rank within area, then product names.
-AREA_TOP3_SQL = f"""
+# product_info. Steps mirror the DataFrame form: clicks per city, clicks per
+# product ranked within their area, the remark of the ranked ones, their names.
+AREA_TOP3_SQL = """
 WITH action_city AS (
   SELECT ci.area, ci.city_name, v.click_product_id
   FROM user_visit_action v JOIN city_info ci ON v.city_id = ci.city_id
@@ -25,32 +25,24 @@ WITH action_city AS (
 per_city AS (
   SELECT area, click_product_id, city_name, count(*) AS n
   FROM action_city GROUP BY area, click_product_id, city_name),
-per_product AS (
-  SELECT area, click_product_id, sum(n) AS clickcount, count(*) AS ncity,
-         slice(array_sort(collect_list(struct(-n AS neg, city_name AS city))), 1, 2) AS top
-  FROM per_city GROUP BY area, click_product_id),
-shares AS (
-  SELECT area, click_product_id, clickcount, ncity,
-         transform(top, e -> struct(e.city AS city,
-                                    floor(-e.neg / clickcount * 1000 + 0.5) / 10 AS share)) AS top
-  FROM per_product),
-remark AS (
-  SELECT area, click_product_id, clickcount,
-         concat_ws(',', transform(top, s -> concat(s.city, ':', cast(s.share AS STRING), '%')),
-                   CASE WHEN ncity > 2 THEN concat('{OTHERS_LABEL}', ':', cast(
-                     floor(aggregate(top, 100.0D, (acc, s) -> acc - s.share) * 10 + 0.5) / 10
-                     AS STRING), '%') END) AS city_remark
-  FROM shares),
 ranked AS (
-  SELECT *, rank() OVER (PARTITION BY area ORDER BY clickcount DESC) AS rk FROM remark)
+  SELECT area, click_product_id, clickcount FROM (
+    SELECT *, rank() OVER (PARTITION BY area ORDER BY clickcount DESC) AS rk
+    FROM (SELECT area, click_product_id, sum(n) AS clickcount FROM per_city GROUP BY area, click_product_id))
+  WHERE rk <= 3),
+remark AS (
+  SELECT r.area, r.click_product_id, first(r.clickcount) AS clickcount,
+         city_ratio(collect_list(struct(c.city_name AS city, c.n AS n))) AS city_remark
+  FROM ranked r JOIN per_city c ON r.area <=> c.area AND r.click_product_id = c.click_product_id
+  GROUP BY r.area, r.click_product_id)
 SELECT r.area, p.product_name, r.clickcount, r.city_remark
-FROM ranked r JOIN product_info p ON r.click_product_id = p.product_id
-WHERE r.rk <= 3
+FROM remark r JOIN product_info p ON r.click_product_id = p.product_id
 """
 
 
 def area_top3_sql(spark: SparkSession) -> DataFrame:
     """R4 through ``spark.sql`` over registered views."""
+    register_city_ratio(spark)
     return spark.sql(AREA_TOP3_SQL)
 
 

@@ -20,13 +20,13 @@ exactly-once results.
 
 Two opt-in settings bound a stream that runs for months:
 ``retain_days`` expires events older than the newest day seen minus N days
-and drops those days from snapshots; ``retire_old_partitions`` empties the
+(they are not counted, but kept in ``expired()``) and drops those days from
+snapshots; ``retire_old_partitions`` empties the
 snapshot and delta partitions no read can need any more.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -38,6 +38,7 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 
 from .. import schemas
 from ..operators import ads
+from ..sinks import external
 from ..sinks.kv import KeyedUpsertLog
 from ..sources import adlog
 from .totals import BatchTotals
@@ -66,9 +67,15 @@ class PipelineConfig:
     snapshot_every: int = 25
     # None keeps every day's counters forever, as the reference does. With
     # N, an event whose day is more than N days before the newest day the
-    # stream has seen is expired (not counted), and snapshots drop those
-    # days, which no later event can update: state stays bounded.
+    # stream has seen is expired (set aside, not counted), and snapshots drop
+    # those days, which no later event can update: state stays bounded.
     retain_days: int | None = None
+    # A day moves that clock only once it has this many events, so that a few
+    # rows with a wrong time cannot expire the real traffic.
+    clock_events: int = 3
+    # Makes the client of an external key-value store (``sinks.external``) on
+    # an executor; each batch's changes are then sent there as well.
+    client_factory: Callable[[], object] | None = None
     # Empty snapshot and delta partitions that no read can need any more
     # (see ``BatchLog.retire``): storage then stays about two snapshots
     # plus 2C deltas per table instead of growing with every snapshot.
@@ -89,9 +96,10 @@ class RealtimePipeline:
         self.r5 = KeyedUpsertLog(spark, f"{root}/area_city_ad_totals", R5_SCHEMA,
                                  ["day", "area", "city", "ad_id"], every)
         self.r6 = KeyedUpsertLog(spark, f"{root}/area_top3_ads", R6_SCHEMA, ["day", "area"], every)
-        # newest event day seen so far (epoch day), kept only with retention
-        self.clock = BatchTotals(spark, f"{root}/clock", StructType([StructField("k", _S)]),
-                                 "newest_day", "max", every)
+        # events per day, kept only with retention: one row a day
+        self.clock = BatchTotals(spark, f"{root}/clock_days", StructType([StructField("day", _S)]),
+                                 "events", "sum", every)
+        self.expired_root = f"{root}/expired"
         self.parsed_root = f"{root}/parsed"
         self._parsed_schema = StructType([*schemas.AD_LOG.fields, StructField("value", _S),
                                           StructField("is_valid", BooleanType()),
@@ -102,6 +110,8 @@ class RealtimePipeline:
             t.create()
         self.spark.createDataFrame([], self._parsed_schema).write.mode("overwrite").parquet(
             f"{self.parsed_root}/batch_id=-1")
+        self.spark.createDataFrame([], schemas.AD_LOG).write.mode("overwrite").parquet(
+            f"{self.expired_root}/batch_id=-1")
         return self
 
     # -- the micro-batch function -------------------------------------------
@@ -122,10 +132,14 @@ class RealtimePipeline:
         min_day = None
         if self.cfg.retain_days is not None:
             min_day = self._advance_clock(ok, n)
+            ok.filter(F.col("day") < min_day).select(*schemas.AD_LOG.fieldNames()).write.mode("overwrite").parquet(
+                f"{self.expired_root}/batch_id={n}")
             ok = ok.filter(F.col("day") >= min_day)
         # The user counters and the area counters only share the landed
         # batch: their jobs are submitted side by side.
         _together(lambda: self._blacklist_step(ok, n, min_day), lambda: self._area_step(ok, n, min_day))
+        if self.cfg.client_factory:
+            self._send(n)
         if self.cfg.retire_old_partitions and n > 0:
             for t in self._logs():
                 t.retire(n - 1)   # batch n - 1 is committed: n is running
@@ -134,14 +148,11 @@ class RealtimePipeline:
         return (self.user_clicks, self.listed, self.area_clicks, self.r5, self.r6, self.clock)
 
     def _advance_clock(self, ok: DataFrame, n: int) -> str:
-        """Record the batch's newest day; return the oldest day still counted."""
-        newest = ok.agg(F.max(F.unix_date(F.to_date("day"))).alias("newest_day"))
-        self.clock.write_delta(newest.filter(F.col("newest_day").isNotNull())
-                               .select(F.lit("k").alias("k"), "newest_day"), n)
-        row = self.clock.totals(n).first()
-        if row is None:                      # nothing valid seen yet
-            return "0000-01-01"
-        return (dt.date(1970, 1, 1) + dt.timedelta(days=row.newest_day - self.cfg.retain_days)).isoformat()
+        """Count the batch's events per day; return the oldest day still counted."""
+        self.clock.write_delta(ok.groupBy("day").agg(F.count(F.lit(1)).alias("events")), n)
+        newest = F.to_date(F.max(F.when(F.col("events") >= self.cfg.clock_events, F.col("day"))))
+        oldest = F.date_format(F.date_sub(newest, self.cfg.retain_days), "yyyy-MM-dd")
+        return self.clock.totals(n).agg(oldest.alias("day")).first().day or "0000-01-01"
 
     def _blacklist_step(self, ok: DataFrame, n: int, min_day: str | None = None) -> None:
         delta = ads.user_day_clicks(ok)
@@ -163,6 +174,15 @@ class RealtimePipeline:
         r6 = ads.top_ads_json(ads.top_ads(ads.area_counts(in_groups), self.cfg.top))
         _together(lambda: self.r5.upsert(r5, n, min_day), lambda: self.r6.upsert(r6, n, min_day))
 
+    def _send(self, n: int) -> None:
+        """Batch N's changed totals to the external store. All are whole values, so a replay changes nothing."""
+        client = self.cfg.client_factory
+        clicks = self.user_clicks.totals(n, only=self._delta_keys(self.user_clicks, n))
+        external.send_user_clicks(clicks, client)
+        external.send_blacklist(self.listed.read("delta", [n]), client)
+        external.send_area_city_counts(self.r5.read("delta", [n]), client)
+        external.send_top_ads(self.r6.read("delta", [n]), client)
+
     @staticmethod
     def _delta_keys(totals: BatchTotals, n: int) -> DataFrame:
         """Keys changed by batch N, read back from the partition just written."""
@@ -184,6 +204,11 @@ class RealtimePipeline:
         landed = self.spark.read.schema(schema).parquet(self.parsed_root)
         return landed.filter(~F.col("is_valid")).select("value", "batch_id")
 
+    def expired(self) -> DataFrame:
+        """Events that retention left uncounted, with the batch they came in."""
+        schema = StructType([*schemas.AD_LOG.fields, StructField("batch_id", LongType())])
+        return self.spark.read.schema(schema).parquet(self.expired_root).filter("batch_id >= 0")
+
     def start(self, lines: DataFrame, checkpoint: str, trigger: dict | None = None):
         """Run on a streaming DataFrame of lines (``value`` column)."""
         writer = (lines.select("value").writeStream.foreachBatch(self.process)
