@@ -293,17 +293,29 @@ def entities(text: str) -> list[tuple[int, int, str]]:
     return sorted(found)
 
 
+#: Further keys that are tried for an entity whose surrogate another one of the text has.
+_RETRIES = 64
+
+
+def canonical(kind: str, text: str) -> str:
+    """One spelling of an entity that has several."""
+    return ipaddress.IPv6Address(text).exploded if kind == "ip6" else text
+
+
 def replace(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str]]]:
-    """The text with surrogates, and the entities. Entities of one text that
-    differ have different surrogates; this is checked."""
+    """The text with surrogates, and the entities. Spellings of one entity may
+    share a surrogate; entities of one text that differ have different ones.
+    This is checked: one whose surrogate is taken gets another, by a further key."""
     found = entities(text)
     given: dict[str, tuple[str, str]] = {}
     out, at = [], 0
     for start, end, kind in found:
         word = text[start:end]
-        new = surrogate(kind, word, key)
-        if given.setdefault(new, (kind, word)) != (kind, word):
-            raise AssertionError(f"two entities of kind {kind} share a surrogate")
+        who, new = (kind, canonical(kind, word)), surrogate(kind, word, key)
+        for again in range(1, _RETRIES):
+            if given.setdefault(new, who) == who:
+                break
+            new = surrogate(kind, word, key + bytes([again]))
         out += [text[at:start], new]
         at = end
     return "".join([*out, text[at:]]), found
