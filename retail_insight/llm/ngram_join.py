@@ -4,9 +4,12 @@ A document's set holds the hashes of its distinct five-word shingles. Two sets
 whose Jaccard similarity reaches the threshold share a token among the first
 few of either (the prefix) under *any* order of all tokens. The first order
 puts tokens of frequent cells last, then goes by hash: its prefixes are
-joined, so passages that many documents share make few candidates. Candidates
-must then share a prefix token under each further order before the sets are
-compared exactly.
+joined, so passages that many documents share make few candidates. A pair
+leaves that join only if a sketch of both sets allows the threshold: bit i of
+a sketch is the parity of the tokens that hash to i, so two sets differ in at
+least as many tokens as their sketches in bits. Candidates must then share a
+prefix token under each further order; only what passes all filters is joined
+with its texts and compared exactly.
 
 Equal sets are one node from the start. The links of a node group are first
 sought from its hubs, the nodes whose prefix tokens others share most; what a
@@ -33,8 +36,11 @@ PERCENT = 75
 ORDERS = 3
 HUB_ROUNDS = 1
 TOKEN_BITS = 48
+#: Longs of a set's sketch; sets of some 900 tokens and more always pass it.
+SKETCH = 8
 ROWS_PER_PARTITION = 600_000
 SALTS = 64
+BITS = tuple(f"bits{i}" for i in range(SKETCH))
 #: (node, id) rows of 16 bytes that may be broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -73,6 +79,16 @@ def node_of(doc: np.ndarray, key: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
     return tx.mix(total + size.astype(np.uint64)).view(np.int64), size
 
 
+def sketch_of(doc: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
+    """Parity sketch of each of ``n`` sets: (n, SKETCH) signed longs."""
+    bits = np.zeros(n * SKETCH, np.uint64)
+    at = tx.mix(key ^ np.uint64(0x632BE59BD9B4E019)) >> np.uint64(32)
+    place = at % np.uint64(64 * SKETCH)
+    np.bitwise_xor.at(bits, doc * SKETCH + (place >> np.uint64(6)).astype(np.int64),
+                      np.uint64(1) << (place & np.uint64(63)))
+    return bits.view(np.int64).reshape(n, SKETCH)
+
+
 def prefix_size(n, percent: int):
     """Tokens of a set of ``n`` among which a partner's must show: n - ceil(t n) + 1."""
     return n + (-percent * n // 100) + 1
@@ -83,7 +99,7 @@ def similar_enough(a, b, common, percent: int):
 
 
 def _keys(source: DataFrame, size: int, id_type: str) -> tuple[DataFrame, np.ndarray]:
-    """(id, node, n) of every row, and the cells of frequent shingles, in one pass."""
+    """(id, node, n, sketch) of every row, and the cells of frequent shingles, in one pass."""
     id_arrow = to_arrow_type(source.schema["id"].dataType)
 
     def run(batches):
@@ -94,14 +110,17 @@ def _keys(source: DataFrame, size: int, id_type: str) -> tuple[DataFrame, np.nda
                 counts += np.bincount(cells(key), minlength=len(counts))
                 node, n = node_of(doc, key, block.n)
                 none = pa.nulls(block.n, pa.int64())
-                yield tx.record_batch(id=block.column("id"), node=node, n=n.astype(np.int64), cell=none, count=none)
+                bits = sketch_of(doc, key, block.n).T.copy()
+                yield tx.record_batch(id=block.column("id"), node=node, n=n.astype(np.int64), cell=none, count=none,
+                                      **dict(zip(BITS, bits)))
         at = np.flatnonzero(counts)
         none = pa.nulls(len(at), pa.int64())
         yield tx.record_batch(id=pa.nulls(len(at), id_arrow), node=none, n=none,
-                              cell=at, count=counts[at])
+                              cell=at, count=counts[at], **dict.fromkeys(BITS, none))
 
-    both = staged(source.mapInArrow(run, f"id {id_type}, node long, n long, cell long, count long"), "ngram-keys")
-    return both.filter("cell is null").select("id", "node", "n"), frequent(both.filter("cell is not null"))
+    longs = "".join(f", {c} long" for c in ("node", "n", "cell", "count", *BITS))
+    both = staged(source.mapInArrow(run, f"id {id_type}{longs}"), "ngram-keys")
+    return both.filter("cell is null").drop("cell", "count"), frequent(both.filter("cell is not null"))
 
 
 def _prefix_rows(source: DataFrame, size: int, percent: int, hot) -> DataFrame:
@@ -156,13 +175,24 @@ def _shared_tokens(rows: DataFrame, partitions: int) -> DataFrame:
     return staged(found.join(several, "token"), "ngram-shared")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, size: int, percent: int, orders: int) -> DataFrame:
+def _share_further(pairs: DataFrame, nodes: DataFrame, orders: int) -> DataFrame:
+    """Pairs that share a prefix token under every further order. ``nodes``: node, order1, ..."""
+    for k in range(1, orders):
+        def side(name: str) -> DataFrame:
+            return nodes.select(F.col("node").alias(name), F.col(f"order{k}").alias(f"p_{name}"))
+
+        pairs = (pairs.join(side("a"), "a").join(side("b"), "b")
+                 .filter(F.arrays_overlap("p_a", "p_b")).select("a", "b"))
+    return pairs
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold. ``nodes``: node, text."""
 
     def run(batches):
         for batch in batches:
             for rows in _pair_blocks(batch):
-                yield _compare(rows, size, percent, orders)
+                yield _compare(rows, size, percent)
 
     left = pairs.join(nodes.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(nodes.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -180,7 +210,7 @@ def _pair_blocks(batch: pa.RecordBatch):
         lo = hi
 
 
-def _compare(rows: pa.RecordBatch, size: int, percent: int, orders: int) -> pa.RecordBatch:
+def _compare(rows: pa.RecordBatch, size: int, percent: int) -> pa.RecordBatch:
     a, b = rows.column(0).to_numpy(), rows.column(1).to_numpy()
     ids, first = np.unique(np.concatenate([a, b]), return_index=True)
     texts = rows.column(2).to_pylist() + rows.column(3).to_pylist()
@@ -189,17 +219,12 @@ def _compare(rows: pa.RecordBatch, size: int, percent: int, orders: int) -> pa.R
     for block in tx.blocks(table, "text"):
         doc, key = shingles(block, size)
         sets += np.split(key, np.searchsorted(doc, np.arange(1, block.n)))
-    # prefixes under the further orders
-    prefixes = [[np.partition(h, p - 1)[:p] if 0 < (p := prefix_size(len(h), percent)) < len(h) else h
-                 for h in (tx.mix(s + np.uint64(0x2545F4914F6CDD1D * k % 2**64)) for s in sets)]
-                for k in range(1, orders)]
     ia, ib = np.searchsorted(ids, a), np.searchsorted(ids, b)
     good = []
     for k, (i, j) in enumerate(zip(ia.tolist(), ib.tolist())):
-        if all(len(np.intersect1d(p[i], p[j], assume_unique=True)) for p in prefixes):
-            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if similar_enough(len(sets[i]), len(sets[j]), common, percent):
-                good.append(k)
+        common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        if similar_enough(len(sets[i]), len(sets[j]), common, percent):
+            good.append(k)
     return rows.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
 
@@ -209,8 +234,18 @@ def _fits(percent: int):
     return 100 * small.cast("long") >= percent * large.cast("long")
 
 
+def _sketches_allow(percent: int, a: str, b: str):
+    """Can sets of n_a and n_b tokens reach the threshold, given columns of both sketches?
+
+    common <= (n_a + n_b - differing bits) / 2.
+    """
+    differ = sum((F.bit_count(F.col(f"{c}_{a}").bitwiseXOR(F.col(f"{c}_{b}"))) for c in BITS), F.lit(0))
+    total = (F.col("n_a") + F.col("n_b")).cast("long")
+    return (100 + percent) * (total - differ) >= 2 * percent * total
+
+
 def _enough_shared(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share enough prefix tokens of the first order.
+    """Pairs whose sketches allow the threshold and that share enough prefix tokens of the first order.
 
     Of two prefixes one ends first in the order; all common tokens up to its
     end lie in both, and at most the rest of that set follows. So the common
@@ -219,9 +254,11 @@ def _enough_shared(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataF
 
     def side(name: str) -> DataFrame:
         return profiles.select(F.col("node").alias(name), F.col("n").cast("long").alias(f"n_{name}"),
-                               F.col("tokens").alias(f"t_{name}"))
+                               F.col("tokens").alias(f"t_{name}"),
+                               *[F.col(c).alias(f"{c}_{name}") for c in BITS])
 
     both = (pairs.join(side("a"), "a").join(side("b"), "b")
+            .filter(_sketches_allow(percent, "a", "b"))
             .withColumn("most", F.size(F.array_intersect("t_a", "t_b"))))
     return both.filter(_reaches(F.col("most"), percent)).select("a", "b")
 
@@ -237,19 +274,32 @@ def _reaches(shared, percent: int):
     return (100 + percent) * (shared + F.greatest(rest(n_a), rest(n_b))) >= percent * (n_a + n_b)
 
 
-def _node_texts(source: DataFrame, ids: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """(node, text) of the pairs' nodes. A small set of nodes is broadcast, which saves a shuffle of all texts."""
+def _node_texts(source: DataFrame, ids: DataFrame, pairs: DataFrame, size: int, percent: int,
+                orders: int) -> DataFrame:
+    """(node, text, order1, ...) of the pairs' nodes: the text, and the prefix under each further
+    order as ints (two tokens of one int only let a pair through). A small set of nodes is broadcast, which saves a shuffle of all texts."""
     wanted = staged(ids.select("node", "id").join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"),
                     "ngram-wanted")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
 
     def own(block: tx.Block):
-        node, _ = node_of(*shingles(block, size), block.n)
-        return block.rows.filter(pa.array(node == block.column("node").to_numpy())).select(["node", "text"])
+        doc, key = shingles(block, size)
+        node, n = node_of(doc, key, block.n)
+        columns = {"node": block.column("node"), "text": block.column("text")}
+        first = np.concatenate([[0], np.cumsum(n)])
+        for k in range(1, orders):
+            rank = tx.mix(key + np.uint64(0x2545F4914F6CDD1D * k % 2**64))
+            order = np.lexsort((rank, doc))
+            pick = np.arange(len(doc)) - first[doc] < prefix_size(n, percent)[doc]
+            token = (rank[order][pick] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(doc[pick], minlength=block.n))])
+            columns[f"order{k}"] = pa.ListArray.from_arrays(ends.astype(np.int32), token)
+        return tx.record_batch(**columns).filter(pa.array(node == block.column("node").to_numpy()))
 
     texts = source.join(wanted, "id").select("node", "text")
-    return tx.map_blocks(texts, "text", own, "node long, text string").dropDuplicates(["node"])
+    lists = "".join(f", order{k} array<int>" for k in range(1, orders))
+    return tx.map_blocks(texts, "text", own, f"node long, text string{lists}").dropDuplicates(["node"])
 
 
 def _links(source: DataFrame, keys: DataFrame, hot, *, size: int, percent: int, orders: int,
@@ -264,10 +314,11 @@ def _links(source: DataFrame, keys: DataFrame, hot, *, size: int, percent: int,
         return None
     # Hubs: the nodes whose tokens have most holders.
     ids = staged(keys.filter("n > 0 and id is not null").groupBy("node")
-                 .agg(F.min("id").alias("id"), F.max("n").cast("int").alias("n")), "ngram-ids")
+                 .agg(F.min("id").alias("id"), F.max("n").cast("int").alias("n"),
+                      *[F.max(c).alias(c) for c in BITS]), "ngram-ids")
     tokens = shared.groupBy("node").agg(
         F.sum("holders").alias("score"), F.array_sort(F.collect_list("token")).alias("tokens"))
-    profiles = staged(tokens.join(ids.select("node", "n"), "node"), "ngram-profiles")
+    profiles = staged(tokens.join(ids.drop("id"), "node"), "ngram-profiles")
     # of a node's shared tokens, how many there are and are left from this one on
     shared = staged(profiles.select("node", "n", "score", F.size("tokens").alias("all"), F.posexplode("tokens"))
                     .select("node", "n", "score", "all", (F.col("all") - F.col("pos")).alias("left"),
@@ -295,20 +346,25 @@ def _links(source: DataFrame, keys: DataFrame, hot, *, size: int, percent: int,
                              F.col("h.node").alias("y"), F.col("h.n").alias("n_b"),
                              F.least("all", "h.all").alias("most")))
         else:
+            now = now.join(profiles.select("node", *BITS), "node")
             one = now.select("token", F.col("node").alias("x"), F.col("n").alias("n_a"),
-                             F.col("root").alias("root_a"), F.col("left").alias("left_a"))
+                             F.col("root").alias("root_a"), F.col("left").alias("left_a"),
+                             *[F.col(c).alias(f"{c}_x") for c in BITS])
             two = now.select("token", F.col("node").alias("y"), F.col("n").alias("n_b"),
-                             F.col("root").alias("root_b"), F.col("left").alias("left_b"))
+                             F.col("root").alias("root_b"), F.col("left").alias("left_b"),
+                             *[F.col(c).alias(f"{c}_y") for c in BITS])
             # a pair shares no more tokens than either has left from its first shared one
-            pairs = (one.join(two, "token").filter("x < y and root_a <> root_b")
+            pairs = (one.join(two, "token")
+                     .filter(F.expr("x < y and root_a <> root_b") & _sketches_allow(percent, "x", "y"))
                      .withColumn("most", F.least("left_a", "left_b")))
         pairs = (pairs.filter(_fits(percent) & _reaches(F.col("most"), percent))
                  .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = staged(_enough_shared(pairs, profiles, percent), "ngram-pairs")
-        nodes = staged(_node_texts(source, ids, pairs, size), "ngram-nodes")
-        found = staged(_verified(pairs, nodes, size, percent, orders), "ngram-links")
+        nodes = staged(_node_texts(source, ids, pairs, size, percent, orders), "ngram-nodes")
+        alike = staged(_share_further(pairs, nodes, orders), "ngram-alike")
+        found = staged(_verified(alike, nodes, size, percent), "ngram-links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         # stars of the components found so far stand for the links they came from
         links = found if root is None else found.unionByName(
@@ -354,18 +410,20 @@ def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """``docs``, all columns, with the row of the least id of each component only.
 
     Of rows that share an id one stays if they link; rows with a null id or
-    without words all stay.
+    without words all stay. Columns may have any names.
     """
     found = staged(jaccard_components(docs, id_col=id_col, text_col=text_col, **options), "ngram-kept")
     linked = found.filter(F.col(id_col).isNotNull() & (F.col("n_shingles") > 0))
     goes = linked.filter(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
     has_words = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    left = docs.join(goes.withColumnRenamed(id_col, "__gone"),
-                     (F.col(f"`{id_col}`") == F.col("__gone")) & has_words, "left_anti")
-    twice = linked.groupBy(id_col).count().filter("count > 1").select(id_col)
-    repeated = left.join(twice, id_col, "left_semi").select(docs.columns)
+    gone = tx.fresh(docs.columns, "gone")
+    left = docs.join(goes.withColumnRenamed(id_col, gone),
+                     (F.col(f"`{id_col}`") == F.col(gone)) & has_words, "left_anti")
+    twice = linked.groupBy(id_col).agg(F.count(F.lit(1)).alias("several")).filter("several > 1").select(id_col)
+    columns = [f"`{c}`" for c in docs.columns]
+    repeated = left.join(twice, id_col, "left_semi").select(columns)
     once = repeated.filter(has_words).dropDuplicates([id_col])
-    return (left.join(twice, id_col, "left_anti").select(docs.columns)
+    return (left.join(twice, id_col, "left_anti").select(columns)
             .unionByName(once).unionByName(repeated.filter(~has_words)))
 
 
@@ -376,5 +434,6 @@ def keep_one_of_each_text(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     """
     key = F.when(F.col(f"`{id_col}`").isNotNull(), F.struct(
         F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("t")))
-    keyed = docs.withColumn("__id_and_text", key)
-    return keep_one_of_each(keyed, id_col="__id_and_text", text_col=text_col, **options).select(docs.columns)
+    both = tx.fresh(docs.columns, "id_and_text")
+    kept = keep_one_of_each(docs.withColumn(both, key), id_col=both, text_col=text_col, **options)
+    return kept.select([f"`{c}`" for c in docs.columns])
