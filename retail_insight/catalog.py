@@ -116,9 +116,9 @@ def category_top10(spark, d):
 
 @register
 def category_session_clicks(spark, d):
-    v = _visits(spark, d)
-    top = category.top_categories(category.category_counts_wide(category.category_actions(v)), P.TASK_ID)
-    return category.category_session_clicks(v, top)
+    counts = category.category_session_counts(_visits(spark, d))
+    top = category.top_categories(category.wide_from_counts(counts), P.TASK_ID)
+    return category.session_clicks_from_counts(counts, top)
 
 
 @register
@@ -174,12 +174,12 @@ def ad_log_accepted(spark, d):
 
 @register
 def area_city_ad_counts(spark, d):
-    return ads.area_city_counts(_accepted(spark, d))
+    return ads.accepted_counts(_ads(spark, d), P.THRESHOLD)
 
 
 @register
 def area_ad_counts(spark, d):
-    return ads.area_counts(ads.area_city_counts(_accepted(spark, d)))
+    return ads.area_counts(area_city_ad_counts(spark, d))
 
 
 @register
@@ -269,8 +269,8 @@ def kv_upsert(spark, d):
     """
     work = new_work_dir(spark, "kv")
     keys = ["day", "area", "city", "ad_id"]
-    per_batch = _accepted(spark, d).groupBy("batch_id", *keys).agg(F.count(F.lit(1)).alias("n"))
-    running = F.sum("n").over(Window.partitionBy(*keys).orderBy("batch_id"))
+    per_batch = ads.accepted_counts(_ads(spark, d), P.THRESHOLD, by=("batch_id",))
+    running = F.sum("clicks").over(Window.partitionBy(*keys).orderBy("batch_id"))
     per_batch.select("batch_id", *keys, running.cast("long").alias("clicks")).write.parquet(f"{work}/changes")
     changes = spark.read.parquet(f"{work}/changes")
     sink = KeyedUpsertLog(spark, f"{work}/r5", R5_SCHEMA, keys).create()

@@ -38,7 +38,11 @@ def blacklist(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD, batch_col: str
     Events are first counted per (batch, day, user, ad), so the running-sum
     window sees at most one row per batch for a key however hot it is.
     """
-    per_batch = ads.groupBy(batch_col, "day", "user_id", "ad_id").agg(F.count(F.lit(1)).alias("n"))
+    return _listed(ads.groupBy(batch_col, "day", "user_id", "ad_id").agg(F.count(F.lit(1)).alias("n")),
+                   threshold, batch_col)
+
+
+def _listed(per_batch: DataFrame, threshold: int, batch_col: str) -> DataFrame:
     running = F.sum("n").over(Window.partitionBy("day", "user_id", "ad_id").orderBy(batch_col))
     return (per_batch.withColumn("cum", running)
             .filter(F.col("cum") >= threshold)
@@ -56,6 +60,33 @@ def accepted(ads: DataFrame, listed: DataFrame, batch_col: str = "batch_id") ->
     return a.join(bl, cond, "left_anti")
 
 
+def batch_counts(ads: DataFrame, batch_col: str = "batch_id") -> DataFrame:
+    """Clicks per (batch, day, area, city, user, ad), ``n``: all that R3, R5 and R6 need of the log.
+
+    Accepted lines always name a user; the filter says so to both readers of
+    the counts, whose plans then share one shuffle.
+    """
+    keys = (batch_col, "day", "area", "city", "user_id", "ad_id")
+    return ads.filter(F.col("user_id").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def accepted_counts(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD, batch_col: str = "batch_id",
+                    by: tuple[str, ...] = ()) -> DataFrame:
+    """R5 (``by``, day, area, city, ad_id, clicks) straight from the log, blacklist feedback included.
+
+    A user is dropped by batch, so counts per batch and user can be filtered
+    in place of events: the log is parsed once, and the join sees a hot
+    user's counts only. An outer join with a filter, as an anti join would
+    move below the counts and read the log again.
+    """
+    counts = batch_counts(ads, batch_col)
+    per_batch = counts.groupBy(batch_col, "day", "user_id", "ad_id").agg(F.sum("n").alias("n"))
+    listed = _listed(per_batch, threshold, batch_col)
+    kept = (counts.join(listed, "user_id", "left")
+            .filter(F.coalesce(F.col(batch_col) <= F.col("listed_batch"), F.lit(True))))
+    return kept.groupBy(*by, "day", "area", "city", "ad_id").agg(F.sum("n").cast("long").alias("clicks"))
+
+
 def area_city_counts(ads: DataFrame) -> DataFrame:
     """R5: (day, area, city, ad_id, clicks)."""
     return ads.groupBy("day", "area", "city", "ad_id").agg(F.count(F.lit(1)).alias("clicks"))

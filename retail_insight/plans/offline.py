@@ -1,8 +1,8 @@
 """Offline job: top-10 categories (R1), then top-10 sessions in them (R2).
 
-R1 is written first and R2 reads the written top-10 back (at most 10 rows), so R2 never recomputes R1. The filtered visits
-feed both; only the four columns the two results need are kept, persisted
-with spill to disk, and rebuilt from lineage if an executor is lost.
+R1 is written first and R2 reads the written top-10 back (at most 10 rows), so R2 never recomputes R1. Both
+follow from one count per (category, action, session); only these counts are persisted, with
+spill to disk, and they are rebuilt from lineage if an executor is lost.
 """
 
 from __future__ import annotations
@@ -39,17 +39,14 @@ def run_offline(spark: SparkSession, visits: DataFrame, users: DataFrame, f: Vis
     ``read(table)`` reads one back. The task id tags every row of the run.
     """
     task_id = task_id or str(uuid.uuid4())
-    needed = filter_visits(visits, users, f).select(
-        "session_id", "click_category_id", "order_category_ids", "pay_category_ids")
-    needed = needed.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = category.category_session_counts(filter_visits(visits, users, f)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        top = category.top_categories(
-            category.category_counts_wide(category.category_actions(needed)), task_id)
+        top = category.top_categories(category.wide_from_counts(counts), task_id)
         write(top, top_categories_table)
         top_written = read(top_categories_table).filter(F.col("task_id") == task_id)
-        sessions = category.top_sessions(category.category_session_clicks(needed, top_written), task_id)
+        sessions = category.top_sessions(category.session_clicks_from_counts(counts, top_written), task_id)
         write(sessions, top_sessions_table)
     finally:
-        needed.unpersist()
+        counts.unpersist()
     own = F.col("task_id") == task_id     # a table may hold other runs' rows
     return OfflineResult(task_id, read(top_categories_table).filter(own), read(top_sessions_table).filter(own))
