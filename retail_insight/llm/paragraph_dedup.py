@@ -145,7 +145,7 @@ def _signatures(source: DataFrame, min_words: int, short_words: int | None, run_
             short=np.arange(len(n)) >= len(p.n), node=node, n=n.astype(np.int32),
             bands=pa.ListArray.from_arrays(pa.array(banded), pa.array(bands.ravel())))
 
-    return staged(tx.map_blocks(source, "text", run, "id long, t int, lo int, hi int, short boolean, node long, n int, bands array<long>"),
+    return staged(tx.map_blocks(source, "text", run, "id long, t long, lo int, hi int, short boolean, node long, n int, bands array<long>"),
                   "paragraphs")
 
 
@@ -243,7 +243,7 @@ def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     source = (tx.pick(docs, id=id_col, text=text_col)
-              .select(F.coalesce(F.col("id").cast("long"), F.lit(-2**63)).alias("id"), F.hash(text).alias("t"),
+              .select(F.coalesce(F.col("id").cast("long"), F.lit(-2**63)).alias("id"), F.xxhash64(text).alias("t"),
                       text.alias("text")))
     every = _signatures(source, min_words, short_words, run_words)
     paragraphs = every.filter("not short")

@@ -32,7 +32,7 @@ ROWS_PER_PARTITION = 500_000
 CHUNK = 20_000          # contexts sorted at a time; one gram's contexts stay together
 _WIDE = 64              # grams that a context's hash is made of
 _HASH_BASE = np.uint64(0xD6E8FEB86659FD93)
-_ANCHOR = "g long, ctx long, salt int, id long, t int, lo int, off short, len short"
+_ANCHOR = "g long, ctx long, salt int, id long, t long, lo int, off short, len short"
 
 
 def _grams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,9 +170,19 @@ class Suffixes:
             w *= 2
         return order
 
-    def neighbours(self, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def ranked(self, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The order of :meth:`sort` and its :meth:`neighbours`. Where bytes show that two
+        hashes were equal by chance, the rows are sorted by their bytes instead."""
+        order = self.sort(first, size)
+        common, sound = self.neighbours(order, first)
+        if not sound:
+            order = np.lexsort((self.length, *self.rows.T[::-1], first))
+            common, _ = self.neighbours(order, first)
+        return order, common
+
+    def neighbours(self, order: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, bool]:
         """Common prefix of each row in order with the one before it (-1 at a
-        group's first), found by hash and checked byte by byte."""
+        group's first), by bytes; and whether the hashes give the same and the order is right."""
         out = np.full(len(order), -1, np.int64)
         k = np.flatnonzero(first != np.arange(len(order)))
         x, y = order[k], order[k - 1]
@@ -180,10 +190,11 @@ class Suffixes:
         differ = self.rows[x] != self.rows[y]
         true = np.where(differ.any(1), differ.argmax(1), self.rows.shape[1])
         true = np.minimum(true, np.minimum(self.length[x], self.length[y]))
-        if (by_hash != true).any():
-            raise AssertionError("prefix hashes collided")
-        out[k] = by_hash
-        return out
+        out[k] = true
+        inner = np.minimum(true, self.rows.shape[1] - 1)
+        ends = true >= np.minimum(self.length[x], self.length[y])
+        after = np.where(ends, self.length[y] <= self.length[x], self.rows[y, inner] < self.rows[x, inner])
+        return out, bool((by_hash == true).all() and after.all())
 
 
 def repeated_windows(g, ids, pos, off, length, contexts: list[bytes]) -> list[np.ndarray]:
@@ -210,8 +221,7 @@ def repeated_windows(g, ids, pos, off, length, contexts: list[bytes]) -> list[np
     left = Suffixes(matrix(LENGTH - GRAM, off, -1), off)
     classes = []
     for s in (right, left):
-        by = s.sort(first, size)
-        classes.append((by, s.neighbours(by, first)))
+        classes.append(s.ranked(first, size))
     repeat = np.zeros((n, LENGTH - GRAM + 1), bool)         # by bytes before the anchor
     for o in range(LENGTH - GRAM + 1):
         who = np.flatnonzero((o <= off) & (o >= off - (length - LENGTH)))
@@ -272,8 +282,8 @@ def _compare_contexts(requests: DataFrame, source: DataFrame, partitions: int) -
             lo = hi
 
     rows = source.join(wanted, ["id", "t"]).mapInArrow(
-        cut, "g long, id long, t int, pos int, off short, len short, bytes binary")
-    return rows.repartition(partitions, "g").mapInArrow(run, "id long, t int, lo int, hi int")
+        cut, "g long, id long, t long, pos int, off short, len short, bytes binary")
+    return rows.repartition(partitions, "g").mapInArrow(run, "id long, t long, lo int, hi int")
 
 
 def _covered(source: DataFrame) -> DataFrame:
@@ -315,7 +325,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     source = (tx.pick(docs, id=id_col, text=text_col)
-              .select(_null_id(F.col("id")).alias("id"), F.hash(text).alias("t"), text.alias("text")))
+              .select(_null_id(F.col("id")).alias("id"), F.xxhash64(text).alias("t"), text.alias("text")))
     spans = _covered(source)
 
     def run(block: tx.Block):

@@ -62,7 +62,39 @@ def test_suffix_sort():
     by = s.sort(first, size)
     for lo, n in ((0, 50), (50, 3), (53, 147)):
         assert [text[i] for i in by[lo:lo + n]] == sorted(text[lo:lo + n])
-    s.neighbours(by, first)
+    assert s.neighbours(by, first)[1]
+
+
+def test_rows_are_sorted_by_bytes_where_hashes_collide(monkeypatch):
+    """A hash that sees one byte in two makes many rows look equal."""
+    monkeypatch.setattr(sd.tx, "BYTE_CODE", sd.tx.BYTE_CODE[np.arange(256) // 2])
+    rng = np.random.default_rng(4)
+    rows = rng.integers(96, 100, (120, 6)).astype(np.uint8)
+    length = rng.integers(1, 7, 120)
+    rows[np.arange(6)[None, :] >= length[:, None]] = 0
+    s = sd.Suffixes(rows, length)
+    first, size = np.repeat([0, 70], [70, 50]), np.repeat([70, 50], [70, 50])
+    assert not s.neighbours(s.sort(first, size), first)[1]
+    by, common = s.ranked(first, size)
+    text = [bytes(r[:n]) for r, n in zip(rows, length)]
+    for lo, n in ((0, 70), (70, 50)):
+        assert [text[i] for i in by[lo:lo + n]] == sorted(text[lo:lo + n])
+        assert common[lo] == -1
+    for i in range(1, 120):
+        if i != 70:
+            a, b = text[by[i - 1]], text[by[i]]
+            assert common[i] == next((k for k in range(6) if a[k:k + 1] != b[k:k + 1] or k >= len(a)), 6)
+
+
+def test_null_ids_are_told_apart_by_their_texts(spark):
+    """Two texts of one 32-bit hash (found by the birthday of 200,000 texts)."""
+    words = spark.range(200_000).selectExpr("concat(id, ' ', sha2(cast(id as string), 256), repeat(sha2(cast(id as string), 512), 2)) AS text")
+    pair = (words.selectExpr("hash(text) AS t", "text").groupBy("t").agg({"text": "collect_list"}).toDF("t", "texts")
+            .filter("size(texts) > 1").orderBy("t").first()["texts"][:2])
+    assert len(set(pair)) == 2
+    share = prose(77, 60)
+    rows = [(None, pair[0]), (None, pair[1]), (None, share), (4, pair[0] + share), (5, share + pair[1])]
+    assert rows_of(sd.remove_repeats(docs_frame(spark, rows)).drop("kept")) == brute(rows)
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(None, "a"), (2, "")]])
