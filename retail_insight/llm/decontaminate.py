@@ -172,18 +172,23 @@ def remove_benchmark(docs: DataFrame, bench: DataFrame, *, what: str = "document
                      share: int = 20, block_text: int = BLOCK_TEXT) -> DataFrame:
     """``docs`` without contaminated documents, or (``what="spans"``) without the words hit.
 
-    All columns stay. A span runs from its first to its last hit word and
+    All columns stay, whatever their names; rows repeat as they come, and an
+    empty table gives no rows. Null texts have no words and stay. A span runs from its first to its last hit word and
     what lies between them; the text around it is left as it is.
     """
     if what not in ("documents", "spans"):
         raise ValueError(what)
     schema, columns = docs.schema, docs.columns
-    source = docs if text_col == "text" else docs.withColumn("text", F.col(f"`{text_col}`"))
+    others = [c for c in columns if c != text_col]
+    # the other columns go as one struct (never an empty one), so no name of theirs can clash
+    packed = F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias(tx.fresh(others, "filler")))
+    source = docs.select(packed.alias("row"), F.col(f"`{text_col}`").alias("text"))
 
     def last(frame, sets, noted):
         def run(block: tx.Block):
             words, hit, _ = _mark(block, sets.value, *_earlier(block, noted))
-            rows = pa.RecordBatch.from_arrays([block.column(c) for c in columns], names=columns)
+            own = dict(zip(others, block.column("row").flatten())) | {text_col: block.column("text")}
+            rows = pa.RecordBatch.from_arrays([own[c] for c in columns], names=columns)
             if what == "documents":
                 n_hit = np.bincount(words.doc[hit], minlength=block.n)
                 return rows.filter(pa.array(~_contaminated(words.per_doc(block.n), n_hit, share)))
