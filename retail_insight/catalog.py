@@ -38,7 +38,7 @@ def register(fn: Query) -> Query:
 
 def _t(spark, d, name):
     """A canonical input, stored once per application from the driver's tables."""
-    return td.stored_tables(spark, d, P.N_BATCHES)[name]
+    return td.stored_table(spark, d, P.N_BATCHES, name)
 
 
 def _actions(spark, d):

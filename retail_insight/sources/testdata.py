@@ -23,6 +23,8 @@ N_SESSIONS = 40          # session_id = 's' || (custkey % 40)
 N_CITIES = 25            # ad log city = nation (user_id % 25)
 N_ADS = 6                # ad_id = (number in props) % 6 + 1
 AGE_BASE, AGE_SPAN = 10, 50
+#: Line items of one task when visits are built, which it sorts several times.
+ITEMS_PER_TASK = 400_000
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,9 +71,13 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey",
         F.regexp_extract("p_brand", r"(\d+)", 1).cast("long").alias("brand"))
 
-    items = (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-             .join(customer, orders.o_custkey == customer.c_custkey)
-             .join(part, lines.l_partkey == part.p_partkey))
+    buyers = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    goods = lines.join(part, lines.l_partkey == part.p_partkey)
+    # By order last: a task then sorts, groups and stores so many line items, whatever the input's size.
+    tasks = lines.count() // ITEMS_PER_TASK + 1
+    if tasks > spark.sparkContext.defaultParallelism:
+        goods, buyers = goods.repartition(tasks, "l_orderkey"), buyers.repartition(tasks, "o_orderkey")
+    items = goods.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
 
     def common(df: DataFrame) -> list[Column]:
         return [
@@ -116,13 +122,11 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clicks.unionByName(baskets)
 
 
+CANONICAL = {f.__name__: f for f in (user_visit_action, user_info, product_info, city_info)}
+
+
 def canonical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "user_visit_action": user_visit_action(spark, sf_dir),
-        "user_info": user_info(spark, sf_dir),
-        "product_info": product_info(spark, sf_dir),
-        "city_info": city_info(spark, sf_dir),
-    }
+    return {name: build(spark, sf_dir) for name, build in CANONICAL.items()}
 
 
 def _epoch_ms(ts_col: str) -> Column:
@@ -162,36 +166,41 @@ def ad_log_batches(spark: SparkSession, sf_dir: str, n_batches: int) -> DataFram
 
 
 # --- stored once per application -------------------------------------------
-# The canonical inputs are derived once and written under the shared folder,
-# then every query reads them as stored tables, as the original jobs read
-# catalog tables. Visits are sorted by date within each file (no shuffle, so
-# a hot date cannot pile into one task), and date bounds skip row groups
-# through parquet min/max statistics.
+# Each canonical input is derived once, when it is first asked for, and written
+# under the shared folder; then every query reads it as a stored table, as the
+# original jobs read catalog tables. Visits are sorted by date within each file
+# (no shuffle, so a hot date cannot pile into one task), and date bounds skip row
+# groups through parquet min/max statistics.
 
 _STORED: dict[tuple[str, str], str] = {}
+_WRITTEN: set[str] = set()
+TABLES = (*CANONICAL, "ad_log_lines")
 
 
-def stored_root(spark: SparkSession, sf_dir: str, n_batches: int) -> str:
+def stored_table(spark: SparkSession, sf_dir: str, n_batches: int, name: str) -> DataFrame:
     from ..session import new_work_dir  # local import: session imports nothing from here
+    from .tables import read_table
 
     key = (spark.sparkContext.applicationId, f"{sf_dir}#{n_batches}")
     if key not in _STORED:
-        root = new_work_dir(spark, "inputs")
-        for name, df in canonical_tables(spark, sf_dir).items():
-            if name == "user_visit_action":
-                df = df.sortWithinPartitions("date")
-            df.write.parquet(f"{root}/{name}")
-        ad_log_batches(spark, sf_dir, n_batches).write.parquet(f"{root}/ad_log_lines")
-        _STORED[key] = root
-    return _STORED[key]
+        _STORED[key] = new_work_dir(spark, "inputs")
+    path = f"{_STORED[key]}/{name}"
+    if path not in _WRITTEN:
+        if name == "ad_log_lines":
+            df = ad_log_batches(spark, sf_dir, n_batches)
+        else:
+            df = CANONICAL[name](spark, sf_dir)
+        if name == "user_visit_action":
+            df = df.sortWithinPartitions("date")
+        df.write.parquet(path)
+        _WRITTEN.add(path)
+    if name == "ad_log_lines":
+        return spark.read.schema("event_id long, value string, batch_id long").parquet(path)
+    return read_table(spark, name, path)
 
 
-def stored_tables(spark: SparkSession, sf_dir: str, n_batches: int) -> dict[str, DataFrame]:
-    from .tables import read_table
-
-    root = stored_root(spark, sf_dir, n_batches)
-    out = {name: read_table(spark, name, f"{root}/{name}")
-           for name in ("user_visit_action", "user_info", "product_info", "city_info")}
-    out["ad_log_lines"] = spark.read.schema("event_id long, value string, batch_id long").parquet(
-        f"{root}/ad_log_lines")
-    return out
+def stored_root(spark: SparkSession, sf_dir: str, n_batches: int) -> str:
+    """The folder of all canonical inputs."""
+    for name in TABLES:
+        stored_table(spark, sf_dir, n_batches, name)
+    return _STORED[spark.sparkContext.applicationId, f"{sf_dir}#{n_batches}"]
