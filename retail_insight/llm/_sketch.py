@@ -1,4 +1,4 @@
-"""Which hashed items are frequent: counts of all rows in a fixed number of cells."""
+"""Which hashed items are frequent: counts of all rows in a fixed number of cells. Parity sketches of sets."""
 
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from . import _text as tx
 
 CELL_BITS = 17
+#: Longs of a sketch; sets of some 900 items and more always pass it.
+SKETCH = 8
 
 
 def cells(key: np.ndarray, bits: int = CELL_BITS) -> np.ndarray:
@@ -49,3 +51,23 @@ def frequent(counts: DataFrame, bits: int = CELL_BITS) -> np.ndarray:
     table[found.column("cell").to_numpy()] = found.column("n").to_numpy()
     mean = table.mean()
     return table > mean + 8 * math.sqrt(mean) + 64
+
+
+def sketch_of(doc: np.ndarray, key: np.ndarray, n: int, longs: int = SKETCH) -> np.ndarray:
+    """Parity sketch of each of ``n`` sets: (n, longs) signed longs."""
+    bits = np.zeros(n * longs, np.uint64)
+    at = tx.mix(key ^ np.uint64(0x632BE59BD9B4E019)) >> np.uint64(32)
+    place = at % np.uint64(64 * longs)
+    np.bitwise_xor.at(bits, doc * longs + (place >> np.uint64(6)).astype(np.int64),
+                      np.uint64(1) << (place & np.uint64(63)))
+    return bits.view(np.int64).reshape(n, longs)
+
+
+def sketches_allow(percent: int, a: str, b: str, bits: tuple[str, ...], sizes: tuple[str, str] = ("n_a", "n_b")):
+    """Can two sets reach the threshold, given columns of their sizes and of both sketches?
+
+    common <= (n_a + n_b - differing bits) / 2.
+    """
+    differ = sum((F.bit_count(F.col(f"{c}_{a}").bitwiseXOR(F.col(f"{c}_{b}"))) for c in bits), F.lit(0))
+    total = (F.col(sizes[0]) + F.col(sizes[1])).cast("long")
+    return (100 + percent) * (total - differ) >= 2 * percent * total

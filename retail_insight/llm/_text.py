@@ -1,8 +1,8 @@
 """Vectorised text helpers shared by the operators: Arrow blocks, word spans, hashes.
 
 A *block* is a run of rows of one Arrow batch whose texts are laid end to end
-in one byte array, so numpy works on some megabytes at a time whatever the
-size of single rows. A null text reads as empty.
+in one byte array, so numpy works on a bounded run of bytes at a time, or on
+one row. A null text reads as empty.
 """
 
 from __future__ import annotations
@@ -12,10 +12,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 2 << 20
+#: A worker holds some 40 bytes of arrays for each byte of a block.
+BLOCK_BYTES = 256 << 10
 
 
 @dataclass
@@ -54,6 +56,18 @@ def blocks(batch: pa.RecordBatch, text: str, limit: int = BLOCK_BYTES) -> Iterat
         lo = hi
 
 
+def pair_blocks(batch: pa.RecordBatch, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch of pairs (a, b, text_a, text_b) so that its texts stay within ``limit``, one pair at least."""
+    length = sum(pc.fill_null(pc.binary_length(batch.column(k)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                 for k in (2, 3))
+    size = np.concatenate([[0], np.cumsum(length)])
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(size, size[lo] + limit, "right")) - 1)
+        yield batch.slice(lo, min(hi, batch.num_rows) - lo)
+        lo = hi
+
+
 def map_blocks(df: DataFrame, text: str, fn: Callable[[Block], pa.RecordBatch], schema,
                limit: int = BLOCK_BYTES) -> DataFrame:
     """``fn`` over every block of ``df``: one record batch out for each block in."""

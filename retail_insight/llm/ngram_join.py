@@ -28,7 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from . import _text as tx
 from ._components import components
-from ._sketch import CELL_BITS, cells, frequent
+from ._sketch import CELL_BITS, SKETCH, cells, frequent, sketch_of, sketches_allow
 from ._stage import staged
 
 SHINGLE = 5
@@ -36,8 +36,6 @@ PERCENT = 75
 ORDERS = 3
 HUB_ROUNDS = 1
 TOKEN_BITS = 48
-#: Longs of a set's sketch; sets of some 900 tokens and more always pass it.
-SKETCH = 8
 ROWS_PER_PARTITION = 600_000
 SALTS = 64
 BITS = tuple(f"bits{i}" for i in range(SKETCH))
@@ -79,16 +77,6 @@ def node_of(doc: np.ndarray, key: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
     return tx.mix(total + size.astype(np.uint64)).view(np.int64), size
 
 
-def sketch_of(doc: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
-    """Parity sketch of each of ``n`` sets: (n, SKETCH) signed longs."""
-    bits = np.zeros(n * SKETCH, np.uint64)
-    at = tx.mix(key ^ np.uint64(0x632BE59BD9B4E019)) >> np.uint64(32)
-    place = at % np.uint64(64 * SKETCH)
-    np.bitwise_xor.at(bits, doc * SKETCH + (place >> np.uint64(6)).astype(np.int64),
-                      np.uint64(1) << (place & np.uint64(63)))
-    return bits.view(np.int64).reshape(n, SKETCH)
-
-
 def prefix_size(n, percent: int):
     """Tokens of a set of ``n`` among which a partner's must show: n - ceil(t n) + 1."""
     return n + (-percent * n // 100) + 1
@@ -110,7 +98,7 @@ def _keys(source: DataFrame, size: int, id_type: str) -> tuple[DataFrame, np.nda
                 counts += np.bincount(cells(key), minlength=len(counts))
                 node, n = node_of(doc, key, block.n)
                 none = pa.nulls(block.n, pa.int64())
-                bits = sketch_of(doc, key, block.n).T.copy()
+                bits = sketch_of(doc, key, block.n, SKETCH).T.copy()
                 yield tx.record_batch(id=block.column("id"), node=node, n=n.astype(np.int64), cell=none, count=none,
                                       **dict(zip(BITS, bits)))
         at = np.flatnonzero(counts)
@@ -191,7 +179,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, size: int, percent: int) -> Da
 
     def run(batches):
         for batch in batches:
-            for rows in _pair_blocks(batch):
+            for rows in tx.pair_blocks(batch):
                 yield _compare(rows, size, percent)
 
     left = pairs.join(nodes.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -199,17 +187,6 @@ def _verified(pairs: DataFrame, nodes: DataFrame, size: int, percent: int) -> Da
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _pair_blocks(batch: pa.RecordBatch):
-    """Cut a batch of pairs so that its texts stay within the block size."""
-    size = np.cumsum([0, *[len(x or "") + len(y or "") for x, y in
-                           zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]])
-    lo = 0
-    while lo < batch.num_rows:
-        hi = max(lo + 1, int(np.searchsorted(size, size[lo] + tx.BLOCK_BYTES, "right")) - 1)
-        yield batch.slice(lo, min(hi, batch.num_rows) - lo)
-        lo = hi
-
-
 def _compare(rows: pa.RecordBatch, size: int, percent: int) -> pa.RecordBatch:
     a, b = rows.column(0).to_numpy(), rows.column(1).to_numpy()
     ids, first = np.unique(np.concatenate([a, b]), return_index=True)
@@ -234,16 +211,6 @@ def _fits(percent: int):
     return 100 * small.cast("long") >= percent * large.cast("long")
 
 
-def _sketches_allow(percent: int, a: str, b: str):
-    """Can sets of n_a and n_b tokens reach the threshold, given columns of both sketches?
-
-    common <= (n_a + n_b - differing bits) / 2.
-    """
-    differ = sum((F.bit_count(F.col(f"{c}_{a}").bitwiseXOR(F.col(f"{c}_{b}"))) for c in BITS), F.lit(0))
-    total = (F.col("n_a") + F.col("n_b")).cast("long")
-    return (100 + percent) * (total - differ) >= 2 * percent * total
-
-
 def _enough_shared(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sketches allow the threshold and that share enough prefix tokens of the first order.
 
@@ -258,7 +225,7 @@ def _enough_shared(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataF
                                *[F.col(c).alias(f"{c}_{name}") for c in BITS])
 
     both = (pairs.join(side("a"), "a").join(side("b"), "b")
-            .filter(_sketches_allow(percent, "a", "b"))
+            .filter(sketches_allow(percent, "a", "b", BITS))
             .withColumn("most", F.size(F.array_intersect("t_a", "t_b"))))
     return both.filter(_reaches(F.col("most"), percent)).select("a", "b")
 
@@ -355,7 +322,7 @@ def _links(source: DataFrame, keys: DataFrame, hot, *, size: int, percent: int,
                              *[F.col(c).alias(f"{c}_y") for c in BITS])
             # a pair shares no more tokens than either has left from its first shared one
             pairs = (one.join(two, "token")
-                     .filter(F.expr("x < y and root_a <> root_b") & _sketches_allow(percent, "x", "y"))
+                     .filter(F.expr("x < y and root_a <> root_b") & sketches_allow(percent, "x", "y", BITS))
                      .withColumn("most", F.least("left_a", "left_b")))
         pairs = (pairs.filter(_fits(percent) & _reaches(F.col("most"), percent))
                  .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
