@@ -2,22 +2,25 @@
 
 Paragraphs are lines of some length and, if asked for, runs of shorter lines;
 single shorter lines are then compared too, by equality. Equal shingle sets are one node;
-MinHash bands, tuned so that a pair at the threshold is missed about once in two
-thousand, bring similar nodes together, every colliding pair that matters
-is compared exactly, and of each connected component only the first paragraph
-stays. Colliding groups are first joined as stars around one node; pairs that
-the stars leave in different components are then all compared.
+MinHash bands, tuned so that a pair at the threshold is missed about once in four
+thousand, bring similar nodes together, every colliding pair that parity sketches
+of both sets allow is compared exactly, and of each connected component only the
+first paragraph stays. Colliding groups are first joined as stars, around one node
+of each band and then around others; pairs that the stars leave in different
+components are then all compared. If asked for, what stays of long paragraphs is
+cut into pieces by content, and pieces that are equal to an earlier one go too.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _text as tx
 from ._components import components
+from ._sketch import SKETCH, sketch_of, sketches_allow
 from ._stage import staged
 
 MIN_WORDS = 20
@@ -25,9 +28,14 @@ SHINGLE = 5
 PERCENT = 75
 #: Registered query: lines from SHORT_WORDS words are compared, runs of short lines are cut above RUN_WORDS.
 SHORT_WORDS, RUN_WORDS = 5, 100
+#: Registered query: paragraphs are cut into pieces of this many words and more, after pairs of
+#: words whose hash is the least among so many pairs on either side.
+PIECE_WORDS, REACH = 16, 9
 #: In a long run a paragraph ends after one word in so many, chosen by the word and the one before it.
 CUT_EVERY = 32
-BANDS, ROWS = 20, 4      # a pair at 0.75 meets with probability 1 - (1 - 0.75**4)**20 = 0.9995
+BANDS, ROWS = 10, 2      # a pair at 0.75 meets with probability 1 - (1 - 0.75**2)**10 = 0.9997
+STARS = 3
+BITS = tuple(f"bits{i}" for i in range(SKETCH))
 #: (id, spans) rows that may be broadcast to fetch texts.
 BROADCAST_ROWS = 50_000
 _SEEDS = tx.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -60,6 +68,7 @@ class Paragraphs:
                 np.concatenate(x)[order] for x in zip((self.start, self.end, self.doc, first[long], end[long]), runs))
         else:
             first, end = first[long], end[long]
+        self.words_at = first, end
         size = end - first
         line = np.repeat(np.arange(len(size)), size)
         word = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
@@ -103,12 +112,49 @@ class Paragraphs:
         first, end = self.line_words
         size = end - first
         at = np.flatnonzero((size >= max(short_words, 1)) & (size < max(min_words, SHINGLE)))
-        first, size = first[at], size[at]
+        return self.lines.start[at], self.lines.end[at], self.lines.doc[at], self._hashes(first[at], size[at])
+
+    def _hashes(self, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """A hash of each run of ``size`` words from ``first`` on."""
         place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
         value = tx.mix(self.words.hash[np.repeat(first, size) + place] + (place + 1).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
-        total = np.add.reduceat(value, np.cumsum(size) - size) if len(at) else np.zeros(0, np.uint64)
-        node = tx.mix(total ^ (size.astype(np.uint64) + np.uint64(0xE7037ED1A0B428DB)))
-        return self.lines.start[at], self.lines.end[at], self.lines.doc[at], node.view(np.int64)
+        total = np.add.reduceat(value, np.cumsum(size) - size) if len(size) else np.zeros(0, np.uint64)
+        return tx.mix(total ^ (size.astype(np.uint64) + np.uint64(0xE7037ED1A0B428DB))).view(np.int64)
+
+    def pieces(self, piece_words: int) -> tuple[np.ndarray, ...]:
+        """Paragraphs of two pieces and more, cut by content: start, end, text, hash of the words.
+
+        A piece ends where the next one starts, so pieces that go side by side leave nothing between.
+        """
+        first, end = self.words_at
+        words = self.words
+        size = np.where(end - first >= 2 * piece_words, end - first, 0)
+        of_word = np.full(len(words.start) + 1, -1)
+        of_word[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))] = np.repeat(np.arange(len(size)), size)
+        inside = (of_word[:-1] >= 0) & (of_word[:-1] == of_word[1:])
+        inside = inside[:-1] if len(inside) else inside
+        pair = tx.mix(words.hash[:-1] * np.uint64(3) + words.hash[1:])
+        least = inside.copy()
+        for k in range(1, REACH + 1):
+            other = ~(inside[k:] & inside[:-k])
+            least[k:] &= other | (pair[k:] < pair[:-k])
+            least[:-k] &= other | (pair[:-k] < pair[k:])
+        cut = np.flatnonzero(least) + 1
+        paragraph = of_word[cut]
+        out = []
+        for p in np.unique(paragraph).tolist():
+            lo, hi = np.searchsorted(paragraph, (p, p + 1))
+            a, z = int(first[p]), int(end[p])
+            cuts = [a]
+            for c in cut[lo:hi].tolist():
+                if c - cuts[-1] >= piece_words and z - c >= piece_words:
+                    cuts.append(c)
+            cuts.append(z)
+            out += [(p, x, y) for x, y in zip(cuts, cuts[1:])] if len(cuts) > 2 else []
+        p, x, y = np.array(out, np.int64).reshape(-1, 3).T
+        start = np.where(x == first[p], self.start[p], words.start[x])
+        stop = np.where(y == end[p], self.end[p], words.start[np.minimum(y, max(len(words.start) - 1, 0))]) if len(p) else x
+        return start, stop, self.doc[p], self._hashes(x, y - x)
 
     def nodes(self) -> np.ndarray:
         if not len(self.n):
@@ -127,26 +173,32 @@ class Paragraphs:
         return out.view(np.int64)
 
 
-def _signatures(source: DataFrame, min_words: int, short_words: int | None, run_words: int) -> DataFrame:
-    """One row a paragraph or short line: id, t, lo, hi (bytes in the text), short, node, n, bands (none for short lines)."""
+def _signatures(source: DataFrame, min_words: int, short_words: int | None, run_words: int,
+                piece_words: int | None) -> DataFrame:
+    """One row a paragraph, short line or piece: id, t, lo, hi (bytes in the text), short (all but paragraphs),
+    node, n, bands and sketch (none where short)."""
 
     def run(block: tx.Block):
         p = Paragraphs(block, min_words, run_words)
         bands = p.bands()
         start, end, doc, node, n = p.start, p.end, p.doc, p.nodes(), p.n
-        if short_words is not None:
-            more = p.short_lines(short_words, min_words)
+        if short_words is not None or piece_words is not None:
+            more = p.short_lines(short_words, min_words) if piece_words is None else p.pieces(piece_words)
             start, end, doc, node = (np.concatenate(x) for x in zip((start, end, doc, node), more))
             n = np.concatenate([n, np.zeros(len(more[0]), n.dtype)])
+        bits = sketch_of(p.line, p.key, len(p.n))
+        none = pa.nulls(len(n) - len(p.n), pa.int64())
         banded = np.minimum(np.arange(len(n) + 1, dtype=np.int32), np.int32(len(p.n))) * np.int32(BANDS)
         return tx.record_batch(
             id=block.column("id").to_numpy()[doc], t=block.column("t").to_numpy()[doc],
             lo=(start - block.offsets[doc]).astype(np.int32), hi=(end - block.offsets[doc]).astype(np.int32),
             short=np.arange(len(n)) >= len(p.n), node=node, n=n.astype(np.int32),
-            bands=pa.ListArray.from_arrays(pa.array(banded), pa.array(bands.ravel())))
+            bands=pa.ListArray.from_arrays(pa.array(banded), pa.array(bands.ravel())),
+            **{c: pa.concat_arrays([pa.array(bits[:, k].copy()), none]) for k, c in enumerate(BITS)})
 
-    return staged(tx.map_blocks(source, "text", run, "id long, t long, lo int, hi int, short boolean, node long, n int, bands array<long>"),
-                  "paragraphs")
+    sketch = "".join(f", {c} long" for c in BITS)
+    return staged(tx.map_blocks(source, "text", run, "id long, t long, lo int, hi int, short boolean, node long, n int, "
+                                f"bands array<long>{sketch}"), "paragraphs")
 
 
 def _texts(source: DataFrame, where: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -172,66 +224,102 @@ def _texts(source: DataFrame, where: DataFrame, pairs: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            ids, first = np.unique(np.concatenate([a, b]), return_index=True)
-            words = batch.column(2).to_pylist() + batch.column(3).to_pylist()
-            table = pa.record_batch([pa.array([words[i] for i in first], pa.large_string())], names=["text"])
-            sets = []
-            for block in tx.blocks(table, "text"):
-                p = Paragraphs(block, SHINGLE, whole=True)
-                sets += np.split(p.key, p.first[1:])
-            good = []
-            for k, (i, j) in enumerate(zip(np.searchsorted(ids, a).tolist(), np.searchsorted(ids, b).tolist())):
-                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
-                    good.append(k)
-            yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
+            for rows in tx.pair_blocks(batch):
+                yield _compare(rows, percent)
 
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _compare(rows: pa.RecordBatch, percent: int) -> pa.RecordBatch:
+    a, b = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+    ids, first = np.unique(np.concatenate([a, b]), return_index=True)
+    words = rows.column(2).to_pylist() + rows.column(3).to_pylist()
+    table = pa.record_batch([pa.array([words[i] for i in first], pa.large_string())], names=["text"])
+    sets = []
+    for block in tx.blocks(table, "text"):
+        p = Paragraphs(block, SHINGLE, whole=True)
+        sets += np.split(p.key, p.first[1:])
+    good = []
+    for k, (i, j) in enumerate(zip(np.searchsorted(ids, a).tolist(), np.searchsorted(ids, b).tolist())):
+        common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+            good.append(k)
+    return rows.select(["a", "b"]).take(pa.array(good, pa.int64()))
+
+
+def _may_link(percent: int):
+    """Can the sets of x and y reach the threshold, by their sizes and sketches?"""
+    sizes = 100 * F.least("n_x", "n_y").cast("long") >= percent * F.greatest("n_x", "n_y").cast("long")
+    return sizes & sketches_allow(percent, "x", "y", BITS, ("n_x", "n_y"))
+
+
 def _roots(source: DataFrame, paragraphs: DataFrame, percent: int) -> DataFrame:
     """(node, root) of nodes that link with another."""
     first = F.min(F.struct("id", "lo", "hi", "t"))
-    nodes = staged(paragraphs.groupBy("node").agg(first.alias("at"), F.max("n").alias("n"),
-                                                  F.min("bands").alias("bands")), "paragraph-nodes")
+    nodes = staged(paragraphs.groupBy("node").agg(first.alias("at"), F.max("n").alias("n"), F.min("bands").alias("bands"),
+                                                  *[F.max(c).alias(c) for c in BITS]), "paragraph-nodes")
     where = nodes.select("node", "at.id", "at.t", "at.lo", "at.hi")
-    band = nodes.select("node", "n", F.explode("bands").alias("band"))
-    # Plain longs keep this a hash aggregate; one row a band is left, so the hashed side is even.
-    hubs = (band.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-            .filter("hub <> last").drop("last"))
-    band = staged(band.join(hubs.hint("shuffle_hash"), "band"), "paragraph-bands")      # only groups of several nodes
-    fits = 100 * F.least("n_a", "n_b").cast("long") >= percent * F.greatest("n_a", "n_b").cast("long")
+    # Only groups of several nodes; a window's one shuffle carries 16 bytes a row.
+    group = Window.partitionBy("band")
+    band = staged(nodes.select("node", F.explode("bands").alias("band"))
+                  .withColumn("hub", F.min("node").over(group)).withColumn("last", F.max("node").over(group))
+                  .filter("hub <> last").select("band", "node"), "paragraph-bands")
+    profiles = staged(nodes.join(band.select("node").distinct(), "node", "left_semi").select("node", "n", *BITS),
+                      "paragraph-profiles")
+
+    def side(name: str, *more: str) -> list:
+        return [F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", *BITS, *more)]]
+
     ends = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    stars = (band.filter("node <> hub").select(F.col("node").alias("x"), F.col("n").alias("n_a"), F.col("hub").alias("y")).distinct()
-             .join(nodes.select(F.col("node").alias("y"), F.col("n").alias("n_b")), "y").filter(fits).select(*ends).distinct())
-    stars = staged(stars, "paragraph-stars")
-    links = staged(_verified(stars, _texts(source, where, stars), percent), "paragraph-links")
-    root = components(links, "paragraph-components")
-    now = (band.select("band", "node", "n").join(root, "node", "left")
-           .withColumn("root", F.coalesce("root", "node")))
-    open_ = now.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band")
-    now = staged(now.join(open_, "band", "left_semi"), "paragraph-open")
-    one = now.select("band", F.col("node").alias("x"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    two = now.select("band", F.col("node").alias("y"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    rest = (one.join(two, "band").filter("x < y and root_a <> root_b").filter(fits).select(*ends).distinct()
-            .join(stars, ["a", "b"], "left_anti"))
-    rest = staged(rest, "paragraph-pairs")
-    more = staged(_verified(rest, _texts(source, where, rest), percent), "paragraph-links")
-    return components(links.unionByName(more), "paragraph-components")
+    links = tried = root = None
+    now = band.withColumn("root", F.col("node"))
+    for turn in range(STARS + 1):
+        if turn:
+            now = band.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            open_ = (now.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
+                     .filter("r0 <> r1").select("band"))
+            now = staged(now.join(open_, "band", "left_semi"), "paragraph-open")
+            if now.isEmpty():
+                break
+        if turn < STARS:
+            # first the least node of each band, then one that is another for each band
+            rank = F.xxhash64("band", "node", F.lit(turn)) if turn else F.lit(0)
+            hub = now.groupBy("band").agg(F.min(F.struct(rank.alias("rank"), "node", "root")).alias("hub"))
+            pairs = (now.join(hub, "band").filter("root <> hub.root")
+                     .select(F.col("node").alias("x"), F.col("hub.node").alias("y")).distinct()
+                     .join(profiles.select(*side("x")), "x").join(profiles.select(*side("y")), "y").filter(_may_link(percent)))
+        else:
+            of_band = now.join(profiles, "node").join(nodes.select("node", "bands"), "node")
+            # a pair leaves the join once, in the first band that both share
+            here = F.array_intersect("bands_x", "bands_y")[0] == F.col("band")
+            pairs = (of_band.select("band", *side("x", "root", "bands")).join(of_band.select("band", *side("y", "root", "bands")), "band")
+                     .filter(F.expr("x < y and root_x <> root_y") & _may_link(percent) & here))
+        pairs = pairs.select(*ends).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = staged(pairs, "paragraph-pairs")
+        found = staged(_verified(pairs, _texts(source, where, pairs), percent), "paragraph-links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        root = components(links, "paragraph-components")
+    return root
 
 
 def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                       min_words: int = MIN_WORDS, percent: int = PERCENT,
-                      short_words: int | None = None, run_words: int = 0) -> DataFrame:
+                      short_words: int | None = None, run_words: int = 0,
+                      piece_words: int | None = None) -> DataFrame:
     """Each row without paragraphs that are equal or similar to an earlier one.
 
     With ``run_words``, consecutive lines below ``min_words`` words are paragraphs
     together, cut by content above ``run_words`` words. With ``short_words``, single
     lines from that many words to below ``min_words`` go too if an equal line (case and
     white space aside) stays earlier; lines that a removed paragraph touches don't count.
+    With ``piece_words``, paragraphs of twice as many words and more that stay are cut by
+    content into pieces of that many and more, and pieces go likewise, so a passage inside
+    paragraphs that otherwise differ is found. Either of the two may be given.
 
     Returns id, n_paragraphs (lines of ``min_words`` words and more, runs and short lines),
     n_removed, n_bytes, removed_bytes, first_doc_ids (where the paragraphs
@@ -241,11 +329,13 @@ def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     lists; rows that share an id and a text are one row's copies: all keep
     the paragraph that stays. Ids are integers; an empty table gives no rows.
     """
+    if short_words is not None and piece_words is not None:
+        raise ValueError("short_words and piece_words overlap: give one of them")
     text = F.coalesce(F.col("text"), F.lit(""))
     source = (tx.pick(docs, id=id_col, text=text_col)
               .select(F.coalesce(F.col("id").cast("long"), F.lit(-2**63)).alias("id"), F.xxhash64(text).alias("t"),
                       text.alias("text")))
-    every = _signatures(source, min_words, short_words, run_words)
+    every = _signatures(source, min_words, short_words, run_words, piece_words)
     paragraphs = every.filter("not short")
     root = _roots(source, paragraphs, percent)
     placed = (paragraphs.select("id", "t", "lo", "hi", "short", "node").join(root, "node", "left")
@@ -254,7 +344,7 @@ def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     first = placed.groupBy("root").agg(F.min(place).alias("first"))
     span = F.when(place != F.col("first"), F.struct("lo", "hi", F.col("first.id").alias("first"))).alias("span")
     spans = placed.join(first, "root").select("id", "t", "lo", "short", span)
-    if short_words is not None:
+    if short_words is not None or piece_words is not None:
         spans = staged(spans, "paragraph-spans")
         lines = every.filter("short").select("id", "t", "lo", "hi", "short", "node")
         # A line can only stand for others if it stays: those in removed paragraphs are out first.
@@ -265,19 +355,24 @@ def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         first = (left.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                  .filter("first <> last").drop("last"))
         again = left.join(first.hint("shuffle_hash"), "node").select("id", "t", "lo", "short", span)
-        spans = (spans.unionByName(lines.select("id", "t", "lo", "short", F.lit(None).cast(spans.schema["span"].dataType).alias("span")))
-                 .unionByName(again.filter("span is not null")))
-    of_doc = staged(spans.groupBy("id", "t").agg(F.count_distinct("short", "lo").alias("n_paragraphs"),
+        if piece_words is None:
+            spans = spans.unionByName(lines.select("id", "t", "lo", "short", F.lit(None).cast(spans.schema["span"].dataType).alias("span")))
+        spans = spans.unionByName(again.filter("span is not null"))
+    # a piece is part of a paragraph
+    counted = F.when(F.lit(piece_words is None) | ~F.col("short"), F.struct("short", "lo"))
+    of_doc = staged(spans.groupBy("id", "t").agg(F.count_distinct(counted).alias("n_paragraphs"),
                                                  F.collect_set("span").alias("spans")), "paragraph-removals")
 
     def run(block: tx.Block):
         rows = {k: [] for k in ("n_removed", "n_bytes", "removed_bytes", "first_doc_ids", "removed", "kept_text")}
         for i, spans in enumerate(block.column("spans").to_pylist()):
-            raw, out, at = block.text_bytes(i), [], 0
+            raw, out, at, whole = block.text_bytes(i), [], 0, False
             spans = sorted(spans or (), key=lambda s: s["lo"])
             for s in spans:
+                # a line break goes with what stands before it in its line, all of it
+                whole = whole and at == s["lo"] or s["lo"] == 0 or raw[s["lo"] - 1:s["lo"]] == b"\n"
                 out.append(raw[at:s["lo"]])
-                at = s["hi"] + (raw[s["hi"]:s["hi"] + 1] == b"\n")
+                at = s["hi"] + (whole and raw[s["hi"]:s["hi"] + 1] == b"\n")
             kept = b"".join([*out, raw[at:]])
             rows["n_removed"].append(len(spans))
             rows["n_bytes"].append(len(raw))

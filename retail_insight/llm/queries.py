@@ -37,7 +37,8 @@ def op2_secret_scan(spark, sf_dir):
 
 def op3_paragraph_dedup(spark, sf_dir):
     return paragraph_dedup.remove_paragraphs(
-        _table(spark, sf_dir, "documents"), run_words=paragraph_dedup.RUN_WORDS).drop("kept_text")
+        _table(spark, sf_dir, "documents"), run_words=paragraph_dedup.RUN_WORDS,
+        piece_words=paragraph_dedup.PIECE_WORDS).drop("kept_text")
 
 
 def op4_minimax_shards(spark, sf_dir):
