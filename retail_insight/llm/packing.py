@@ -5,6 +5,7 @@ number of sequences is open, a bitset keyed by free space finds the one a
 piece fits best, and when another must be opened the fullest closes first.
 A piece's place never changes, so nothing is shuffled or held back; a task
 remembers the open sequences' free space and a bounded table of words only.
+Of that table the words that come again stay when it is full.
 """
 
 from __future__ import annotations
@@ -21,10 +22,13 @@ from . import _text as tx
 CAPACITY = 2048
 OPEN_SEQUENCES = 512
 END = 0
-#: What a worker remembers before it starts anew: ids, and words of letters.
-CACHE_IDS = 12_000_000
-CACHE_WORDS = 300_000
-BLOCK_BYTES = 4 << 20
+#: What a worker remembers before it drops words met once: ids, and words of letters.
+CACHE_IDS = 3_000_000
+CACHE_WORDS = 100_000
+#: Words that the tokenizer gets at once: it holds some hundred bytes for each id until they are read.
+CALL_WORDS = 500
+#: Pieces are placed together by the first, texts are coded together by the second.
+BLOCK_BYTES, CODED_BYTES = 4 << 20, 512 << 10
 _TAILS = (".", ",", "!!", "!", "?", ";", ":", "###", "***", "$$$", "%%%", "&&&", ".,", "!!,")
 _IN_WORD = ~tx.byte_set((0x20, 0x20), (0x0A, 0x0A))
 
@@ -44,22 +48,31 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
         self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self._forget()
-
-    def _forget(self):
         self.letters: dict[str, bytes] = {"": b""}
         self.hash = np.zeros(0, np.uint64)      # sorted; with the place of each word's ids
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
+        self.met = np.zeros(0, np.int32)        # blocks that hold the word, since words were last dropped
         self.ids = np.zeros(0, "<u4")
 
+    def _drop_rare(self):
+        """Words of several blocks stay, unless their ids alone take half the room."""
+        stays = self.met > 1
+        if 2 * int(self.length[stays].sum()) > CACHE_IDS:
+            stays[:] = False
+        length = self.length[stays]
+        start = np.cumsum(length) - length
+        self.ids = self.ids[np.repeat(self.start[stays] - start, length) + np.arange(int(length.sum()))]
+        self.hash, self.start, self.length = self.hash[stays], start, length
+        self.met = np.zeros(len(start), np.int32)
+
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.asarray(e.ids, dtype="<u4").tobytes() for at in range(0, len(texts), CALL_WORDS)
+                for e in self.tokenizer.encode_batch_fast(texts[at:at + CALL_WORDS], add_special_tokens=False)]
 
     def _letters(self, words: list[str]) -> list[bytes]:
         """Ids of words of letters only, coded together: each ends in one word-end id."""
-        data = self._ids([" ".join(words)])[0] if words else b""
+        data = b"".join(self._ids([" ".join(words[at:at + CALL_WORDS])])[0] for at in range(0, len(words), CALL_WORDS))
         cut = np.flatnonzero(self.ends_word[np.frombuffer(data, "<u4")]) + 1
         if len(cut) != len(words):
             return self._ids(words)
@@ -87,15 +100,17 @@ class Tokens:
         first = [w for w in wanted if w.isalpha() and "\u0130" not in w]
         rest = list(wanted.difference(first))
         known.update(zip(first, self._letters(first)))
-        known.update(zip(rest, self._ids(rest)))
-        return [known[core] + known[tail] for core, tail in parts]
+        # Signs and numbers in words rarely come again; the tails do.
+        own = dict(zip(rest, self._ids(rest)))
+        known.update((t, own[t]) for t in _TAILS if t in own)
+        return [(own[core] if core in own else known[core]) + known[tail] for core, tail in parts]
 
     def encode(self, block: tx.Block) -> tuple[np.ndarray, np.ndarray]:
         """Unsigned 32-bit ids of a block's texts end to end, and where each text's begin."""
         words = tx.spans(block.data, block.offsets, _IN_WORD)
         hashes, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
         if len(self.ids) > CACHE_IDS:
-            self._forget()
+            self._drop_rare()
         new = ~np.isin(hashes, self.hash, assume_unique=True)
         raw = block.data.tobytes()
         at = first[new]
@@ -108,7 +123,10 @@ class Tokens:
         self.hash = merged[order]
         self.start = np.concatenate([self.start, start])[order]
         self.length = np.concatenate([self.length, length])[order]
-        entry = np.searchsorted(self.hash, hashes)[which]
+        self.met = np.concatenate([self.met, np.zeros(len(length), np.int32)])[order]
+        entry = np.searchsorted(self.hash, hashes)
+        self.met[entry] += 1
+        entry = entry[which]
         length = self.length[entry]
         ends = np.cumsum(length)
         total = int(ends[-1]) if len(ends) else 0
@@ -186,14 +204,16 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tok
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             for block in tx.blocks(batch, "text", BLOCK_BYTES):
-                row, values = [], []
-                stream, bounds = coder.encode(block)
-                for i, (a, b) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
-                    ids = stream[a:b].tobytes() + end
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[at:at + 4 * capacity]
-                        row.append(i)
-                        values.append((piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                row, values, i = [], [], 0
+                for coded in tx.blocks(block.rows, "text", CODED_BYTES):
+                    stream, bounds = coder.encode(coded)
+                    for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+                        ids = stream[a:b].tobytes() + end
+                        for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                            part = ids[at:at + 4 * capacity]
+                            row.append(i)
+                            values.append((piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                        i += 1
                 # Pieces that arrived together are placed longest first.
                 length = np.array([v[2] for v in values])
                 placed = [None] * len(values)
