@@ -8,7 +8,7 @@ of both sets allow is compared exactly, and of each connected component only the
 first paragraph stays. Colliding groups are first joined as stars, around one node
 of each band and then around others; pairs that the stars leave in different
 components are then all compared. If asked for, what stays of long paragraphs is
-cut into pieces by content, and pieces that are equal to an earlier one go too.
+cut into pieces by content, and runs of pieces that are equal to earlier ones go too.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ PERCENT = 75
 #: Registered query: lines from SHORT_WORDS words are compared, runs of short lines are cut above RUN_WORDS.
 SHORT_WORDS, RUN_WORDS = 5, 100
 #: Registered query: paragraphs are cut into pieces of this many words and more, after pairs of
-#: words whose hash is the least among so many pairs on either side.
-PIECE_WORDS, REACH = 16, 9
+#: words whose hash is the least among so many pairs on either side; pieces go where so many words do, side by side.
+PIECE_WORDS, REACH, REPEAT_WORDS = 8, 7, 16
 #: In a long run a paragraph ends after one word in so many, chosen by the word and the one before it.
 CUT_EVERY = 32
 BANDS, ROWS = 10, 2      # a pair at 0.75 meets with probability 1 - (1 - 0.75**2)**10 = 0.9997
@@ -300,17 +300,34 @@ def _roots(source: DataFrame, paragraphs: DataFrame, percent: int) -> DataFrame:
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = staged(pairs, "paragraph-pairs")
+        if root is not None and pairs.isEmpty():
+            continue
         found = staged(_verified(pairs, _texts(source, where, pairs), percent), "paragraph-links")
         tried = pairs if tried is None else tried.unionByName(pairs)
+        if root is not None and found.isEmpty():
+            continue
         links = found if links is None else links.unionByName(found)
-        root = components(links, "paragraph-components")
+        root = staged(components(links, "paragraph-components"), "paragraph-roots")
     return root
 
 
+def _long_runs(raw: bytes, spans: list, least: int) -> list:
+    """The spans of ``raw`` without the pieces that have fewer than ``least`` words with the pieces they touch."""
+    out, run = [], []
+    for s in [*spans, None]:
+        if run and (s is None or not s["short"] or s["lo"] != run[-1]["hi"]):
+            if len(raw[run[0]["lo"]:run[-1]["hi"]].split()) >= least:
+                out += run
+            run = []
+        if s is not None:
+            (run if s["short"] else out).append(s)
+    return out
+
+
 def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                       min_words: int = MIN_WORDS, percent: int = PERCENT,
                       short_words: int | None = None, run_words: int = 0,
-                      piece_words: int | None = None) -> DataFrame:
+                      piece_words: int | None = None, repeat_words: int = REPEAT_WORDS) -> DataFrame:
     """Each row without paragraphs that are equal or similar to an earlier one.
 
     With ``run_words``, consecutive lines below ``min_words`` words are paragraphs
@@ -318,7 +335,8 @@ def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     lines from that many words to below ``min_words`` go too if an equal line (case and
     white space aside) stays earlier; lines that a removed paragraph touches don't count.
     With ``piece_words``, paragraphs of twice as many words and more that stay are cut by
-    content into pieces of that many and more, and pieces go likewise, so a passage inside
+    content into pieces of that many and more, and pieces go likewise where they have
+    ``repeat_words`` words with the pieces beside them that go, so a passage inside
     paragraphs that otherwise differ is found. Either of the two may be given.
 
     Returns id, n_paragraphs (lines of ``min_words`` words and more, runs and short lines),
@@ -342,7 +360,7 @@ def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
               .withColumn("root", F.coalesce("root", "node")))
     place = F.struct("id", "lo", "t")
     first = placed.groupBy("root").agg(F.min(place).alias("first"))
-    span = F.when(place != F.col("first"), F.struct("lo", "hi", F.col("first.id").alias("first"))).alias("span")
+    span = F.when(place != F.col("first"), F.struct("lo", "hi", "short", F.col("first.id").alias("first"))).alias("span")
     spans = placed.join(first, "root").select("id", "t", "lo", "short", span)
     if short_words is not None or piece_words is not None:
         spans = staged(spans, "paragraph-spans")
@@ -368,6 +386,8 @@ def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         for i, spans in enumerate(block.column("spans").to_pylist()):
             raw, out, at, whole = block.text_bytes(i), [], 0, False
             spans = sorted(spans or (), key=lambda s: s["lo"])
+            if piece_words is not None:
+                spans = _long_runs(raw, spans, repeat_words)
             for s in spans:
                 # a line break goes with what stands before it in its line, all of it
                 whole = whole and at == s["lo"] or s["lo"] == 0 or raw[s["lo"] - 1:s["lo"]] == b"\n"

@@ -86,3 +86,52 @@ def test_pairs_between_stars_do_not_grow_with_the_square(spark, monkeypatch):
 def test_options_that_overlap(spark):
     with pytest.raises(ValueError):
         pd.remove_paragraphs(docs_frame(spark, [(1, "a")]), short_words=5, piece_words=20)
+
+
+def test_most_passages_of_60_words_are_found(spark):
+    """Each second text repeats 60 words in the middle of its one line."""
+    rows = []
+    for k in range(40):
+        passage = line(20_000 + k, 60)
+        rows += [(2 * k, f"{line(21_000 + k, 70)} {passage} {line(22_000 + k, 50)}"),
+                 (2 * k + 1, f"{line(23_000 + k, 45)} {passage} {line(24_000 + k, 80)}")]
+    got = removed(spark, rows)
+    assert not any(got[2 * k].n_removed for k in range(40))
+    found = [k for k in range(40) if got[2 * k + 1].removed_bytes]
+    assert len(found) >= 36
+    for k in found:
+        gone = len(rows[2 * k + 1][1].split()) - len(got[2 * k + 1].kept_text.split())
+        assert pd.REPEAT_WORDS <= gone <= 60 and got[2 * k + 1].first_doc_ids == [2 * k]
+
+
+def test_pieces_go_only_in_runs_of_enough_words():
+    raw = b"one two three four five six seven eight nine"
+
+    def span(lo, hi, short=True):
+        return {"lo": lo, "hi": hi, "short": short, "first": 1}
+
+    paragraph, a, b, apart = span(0, 4, False), span(4, 14), span(14, 24), span(28, 34)
+    assert pd._long_runs(raw, [paragraph, a, b, apart], 4) == [paragraph, a, b]
+    assert pd._long_runs(raw, [paragraph, a, apart], 4) == [paragraph]
+    assert pd._long_runs(raw, [], 4) == []
+
+
+def test_rounds_without_new_pairs_are_skipped(spark, monkeypatch):
+    """Links are followed again only after a round that found some."""
+    rows = [(k, f"{line(990, 40)} {line(25_000 + k, 9)}") for k in range(12)]
+    calls, components = [], pd.components
+    monkeypatch.setattr(pd, "components", lambda *a: calls.append(1) or components(*a))
+    pairs, staged = [], pd.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        if name in ("paragraph-pairs", "paragraph-links"):
+            pairs.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(pd, "staged", counted)
+    got = pd.remove_paragraphs(docs_frame(spark, rows))
+    assert rows_of(got.select("doc_id", "n_paragraphs", "n_removed", "first_doc_ids")) == brute(rows)
+    links = [n for name, n in pairs if name == "paragraph-links"]
+    assert len(calls) == max(1, sum(n > 0 for n in links))
+    assert len(links) == max(1, sum(n > 0 for name, n in pairs if name == "paragraph-pairs"))
