@@ -6,8 +6,8 @@ MinHash bands, tuned so that a pair at the threshold is missed about once in fou
 thousand, bring similar nodes together, every colliding pair that parity sketches
 of both sets allow is compared exactly, and of each connected component only the
 first paragraph stays. Colliding groups are first joined as stars, around one node
-of each band and then around others; pairs that the stars leave in different
-components are then all compared. If asked for, what stays of long paragraphs is
+of each band and then, where groups are large, around others; pairs that the stars
+leave in different components are then all compared. If asked for, what stays of long paragraphs is
 cut into pieces by content, and runs of pieces that are equal to earlier ones go too.
 """
 
@@ -34,7 +34,10 @@ PIECE_WORDS, REACH, REPEAT_WORDS = 8, 7, 16
 #: In a long run a paragraph ends after one word in so many, chosen by the word and the one before it.
 CUT_EVERY = 32
 BANDS, ROWS = 10, 2      # a pair at 0.75 meets with probability 1 - (1 - 0.75**2)**10 = 0.9997
-STARS = 3
+#: Turns of stars: around the least node of each band, then around so many that are others for each band.
+STARS, HUBS = 2, 2
+#: All pairs of open groups are compared at once if their join makes at most so many rows for each of theirs.
+PAIRS_A_ROW = 128
 BITS = tuple(f"bits{i}" for i in range(SKETCH))
 #: (id, spans) rows that may be broadcast to fetch texts.
 BROADCAST_ROWS = 50_000
@@ -176,7 +179,7 @@ class Paragraphs:
 def _signatures(source: DataFrame, min_words: int, short_words: int | None, run_words: int,
                 piece_words: int | None) -> DataFrame:
     """One row a paragraph, short line or piece: id, t, lo, hi (bytes in the text), short (all but paragraphs),
-    node, n, bands and sketch (none where short)."""
+    in_text (paragraphs and short lines of its text), node, n, bands and sketch (none where short)."""
 
     def run(block: tx.Block):
         p = Paragraphs(block, min_words, run_words)
@@ -186,19 +189,20 @@ def _signatures(source: DataFrame, min_words: int, short_words: int | None, run_
             more = p.short_lines(short_words, min_words) if piece_words is None else p.pieces(piece_words)
             start, end, doc, node = (np.concatenate(x) for x in zip((start, end, doc, node), more))
             n = np.concatenate([n, np.zeros(len(more[0]), n.dtype)])
+        in_text = np.bincount(doc if piece_words is None else p.doc, minlength=block.n)[doc]
         bits = sketch_of(p.line, p.key, len(p.n))
         none = pa.nulls(len(n) - len(p.n), pa.int64())
         banded = np.minimum(np.arange(len(n) + 1, dtype=np.int32), np.int32(len(p.n))) * np.int32(BANDS)
         return tx.record_batch(
             id=block.column("id").to_numpy()[doc], t=block.column("t").to_numpy()[doc],
             lo=(start - block.offsets[doc]).astype(np.int32), hi=(end - block.offsets[doc]).astype(np.int32),
-            short=np.arange(len(n)) >= len(p.n), node=node, n=n.astype(np.int32),
+            short=np.arange(len(n)) >= len(p.n), in_text=in_text.astype(np.int32), node=node, n=n.astype(np.int32),
             bands=pa.ListArray.from_arrays(pa.array(banded), pa.array(bands.ravel())),
             **{c: pa.concat_arrays([pa.array(bits[:, k].copy()), none]) for k, c in enumerate(BITS)})
 
     sketch = "".join(f", {c} long" for c in BITS)
-    return staged(tx.map_blocks(source, "text", run, "id long, t long, lo int, hi int, short boolean, node long, n int, "
-                                f"bands array<long>{sketch}"), "paragraphs")
+    return staged(tx.map_blocks(source, "text", run, "id long, t long, lo int, hi int, short boolean, in_text int, "
+                                f"node long, n int, bands array<long>{sketch}"), "paragraphs")
 
 
 def _texts(source: DataFrame, where: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -256,59 +260,68 @@ def _may_link(percent: int):
 
 
 def _roots(source: DataFrame, paragraphs: DataFrame, percent: int) -> DataFrame:
-    """(node, root) of nodes that link with another."""
+    """(node, root) of nodes that stand more than once or link with another."""
     first = F.min(F.struct("id", "lo", "hi", "t"))
-    nodes = staged(paragraphs.groupBy("node").agg(first.alias("at"), F.max("n").alias("n"), F.min("bands").alias("bands"),
-                                                  *[F.max(c).alias(c) for c in BITS]), "paragraph-nodes")
-    where = nodes.select("node", "at.id", "at.t", "at.lo", "at.hi")
+    nodes = staged(paragraphs.groupBy("node").agg(first.alias("at"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
+                                                  F.min("bands").alias("bands"), *[F.max(c).alias(c) for c in BITS]), "paragraph-nodes")
     # Only groups of several nodes; a window's one shuffle carries 16 bytes a row.
     group = Window.partitionBy("band")
     band = staged(nodes.select("node", F.explode("bands").alias("band"))
                   .withColumn("hub", F.min("node").over(group)).withColumn("last", F.max("node").over(group))
-                  .filter("hub <> last").select("band", "node"), "paragraph-bands")
-    profiles = staged(nodes.join(band.select("node").distinct(), "node", "left_semi").select("node", "n", *BITS),
-                      "paragraph-profiles")
+                  .filter("hub <> last").select("band", "node", "hub"), "paragraph-bands")
+    profiles = staged(nodes.join(band.select("node").distinct(), "node", "left_semi")
+                      .select("node", "at.id", "at.t", "at.lo", "at.hi", "n", "bands", *BITS), "paragraph-profiles")
+    where = profiles.select("node", "id", "t", "lo", "hi")
 
     def side(name: str, *more: str) -> list:
         return [F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", *BITS, *more)]]
 
     ends = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    links = tried = root = None
-    now = band.withColumn("root", F.col("node"))
+    tried = root = None
     for turn in range(STARS + 1):
+        all_pairs = turn == STARS
         if turn:
-            now = band.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            open_ = (now.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
-                     .filter("r0 <> r1").select("band"))
-            now = staged(now.join(open_, "band", "left_semi"), "paragraph-open")
-            if now.isEmpty():
+            now = band.join(root, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+            open_ = (now.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("size"))
+                     .filter("r0 <> r1").select("band", "size"))
+            now = staged(now.join(open_, "band"), "paragraph-open")
+            rows, joined = now.agg(F.count(F.lit(1)), F.sum("size")).first()
+            if not rows:
                 break
-        if turn < STARS:
-            # first the least node of each band, then one that is another for each band
-            rank = F.xxhash64("band", "node", F.lit(turn)) if turn else F.lit(0)
-            hub = now.groupBy("band").agg(F.min(F.struct(rank.alias("rank"), "node", "root")).alias("hub"))
-            pairs = (now.join(hub, "band").filter("root <> hub.root")
-                     .select(F.col("node").alias("x"), F.col("hub.node").alias("y")).distinct()
-                     .join(profiles.select(*side("x")), "x").join(profiles.select(*side("y")), "y").filter(_may_link(percent)))
-        else:
-            of_band = now.join(profiles, "node").join(nodes.select("node", "bands"), "node")
+            all_pairs = all_pairs or joined <= PAIRS_A_ROW * rows
+        if all_pairs:
+            of_band = now.join(profiles, "node")
             # a pair leaves the join once, in the first band that both share
             here = F.array_intersect("bands_x", "bands_y")[0] == F.col("band")
             pairs = (of_band.select("band", *side("x", "root", "bands")).join(of_band.select("band", *side("y", "root", "bands")), "band")
                      .filter(F.expr("x < y and root_x <> root_y") & _may_link(percent) & here))
-        pairs = pairs.select(*ends).distinct()
+        else:
+            if turn:
+                ranks = [F.xxhash64("band", "node", F.lit(k)).alias("rank") for k in range(1, HUBS + 1)]
+                hubs = now.groupBy("band").agg(F.array(*[F.min(F.struct(r, "node", "root")) for r in ranks]).alias("hubs"))
+                others = F.filter("hubs", lambda h: h["root"] != F.col("root"))
+                stars = now.join(hubs, "band").select(F.col("node").alias("x"), F.explode(F.transform(others, lambda h: h["node"])).alias("y"))
+            else:
+                stars = band.filter("node <> hub").select(F.col("node").alias("x"), F.col("hub").alias("y"))
+            pairs = (stars.distinct().join(profiles.select(*side("x")), "x").join(profiles.select(*side("y")), "y")
+                     .filter(_may_link(percent)))
+        pairs = pairs.select(*ends)
+        # the least node of a band is on a fixed side, and a pair leaves the other join once
+        pairs = pairs if all_pairs or not turn else pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = staged(pairs, "paragraph-pairs")
-        if root is not None and pairs.isEmpty():
-            continue
-        found = staged(_verified(pairs, _texts(source, where, pairs), percent), "paragraph-links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        if root is not None and found.isEmpty():
-            continue
-        links = found if links is None else links.unionByName(found)
-        root = staged(components(links, "paragraph-components"), "paragraph-roots")
-    return root
+        if root is None or not pairs.isEmpty():
+            found = staged(_verified(pairs, _texts(source, where, pairs), percent), "paragraph-links")
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            if root is None or not found.isEmpty():
+                # what is linked so far goes on as stars
+                known = found if root is None else found.unionByName(root.select(F.col("node").alias("a"), F.col("root").alias("b")))
+                root = staged(components(known, "paragraph-components"), "paragraph-roots")
+        if all_pairs:
+            break
+    return staged(nodes.select("node", "copies").join(root, "node", "left").filter("copies > 1 or root is not null")
+                  .select("node", F.coalesce("root", "node").alias("root")), "paragraph-moved")
 
 
 def _long_runs(raw: bytes, spans: list, least: int) -> list:
@@ -355,31 +368,31 @@ def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                       text.alias("text")))
     every = _signatures(source, min_words, short_words, run_words, piece_words)
     paragraphs = every.filter("not short")
-    root = _roots(source, paragraphs, percent)
-    placed = (paragraphs.select("id", "t", "lo", "hi", "short", "node").join(root, "node", "left")
-              .withColumn("root", F.coalesce("root", "node")))
+    # paragraphs that stand once and link with none stay, so only the others are placed
+    placed = staged(paragraphs.select("id", "t", "lo", "hi", "short", "node").join(_roots(source, paragraphs, percent), "node"),
+                    "paragraph-placed")
     place = F.struct("id", "lo", "t")
-    first = placed.groupBy("root").agg(F.min(place).alias("first"))
-    span = F.when(place != F.col("first"), F.struct("lo", "hi", "short", F.col("first.id").alias("first"))).alias("span")
-    spans = placed.join(first, "root").select("id", "t", "lo", "short", span)
+    first = staged(placed.groupBy("root").agg(F.min(place).alias("first")), "paragraph-first")
+    span = F.struct("lo", "hi", "short", F.col("first.id").alias("first")).alias("span")
+    spans = placed.join(first, "root").filter(place != F.col("first")).select("id", "t", span)
     if short_words is not None or piece_words is not None:
         spans = staged(spans, "paragraph-spans")
         lines = every.filter("short").select("id", "t", "lo", "hi", "short", "node")
+        # as with paragraphs, those that stand once stay
+        twice = staged(lines.groupBy("node").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("node"),
+                       "paragraph-twice")
         # A line can only stand for others if it stays: those in removed paragraphs are out first.
-        gone = spans.filter("span is not null").groupBy("id", "t").agg(F.collect_set("span").alias("gone"))
-        left = staged(lines.join(gone, ["id", "t"], "left")
+        gone = spans.groupBy("id", "t").agg(F.collect_set("span").alias("gone"))
+        left = staged(lines.join(twice.hint("shuffle_hash"), "node").join(gone, ["id", "t"], "left")
                       .filter(~F.coalesce(F.exists("gone", lambda s: (s["lo"] < F.col("hi")) & (F.col("lo") < s["hi"])), F.lit(False)))
                       .drop("gone"), "paragraph-lines")
-        first = (left.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                 .filter("first <> last").drop("last"))
-        again = left.join(first.hint("shuffle_hash"), "node").select("id", "t", "lo", "short", span)
-        if piece_words is None:
-            spans = spans.unionByName(lines.select("id", "t", "lo", "short", F.lit(None).cast(spans.schema["span"].dataType).alias("span")))
-        spans = spans.unionByName(again.filter("span is not null"))
+        first = left.groupBy("node").agg(F.min(place).alias("first"))
+        again = left.join(first.hint("shuffle_hash"), "node").filter(place != F.col("first"))
+        spans = spans.unionByName(again.select("id", "t", span))
     # a piece is part of a paragraph
-    counted = F.when(F.lit(piece_words is None) | ~F.col("short"), F.struct("short", "lo"))
-    of_doc = staged(spans.groupBy("id", "t").agg(F.count_distinct(counted).alias("n_paragraphs"),
-                                                 F.collect_set("span").alias("spans")), "paragraph-removals")
+    counts = (every if piece_words is None else paragraphs).groupBy("id", "t").agg(F.max("in_text").cast("long").alias("n_paragraphs"))
+    of_doc = staged(counts.join(spans.groupBy("id", "t").agg(F.collect_set("span").alias("spans")), ["id", "t"], "left"),
+                    "paragraph-removals")
 
     def run(block: tx.Block):
         rows = {k: [] for k in ("n_removed", "n_bytes", "removed_bytes", "first_doc_ids", "removed", "kept_text")}
